@@ -1,0 +1,29 @@
+"""Comparison of result sets and building of small frames."""
+
+from orderstar.schemas import TABLES
+
+
+def content(rows, columns):
+    """Rows as an order-insensitive, comparable list, columns sorted by name."""
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(
+        (tuple(row[i] for i in order) for row in rows),
+        key=lambda row: tuple((value is None, str(value)) for value in row),
+    )
+
+
+def spark_content(df):
+    return content([tuple(row) for row in df.collect()], df.columns)
+
+
+def duck_content(con, sql):
+    result = con.execute(sql)
+    return content(result.fetchall(), [column[0] for column in result.description])
+
+
+def table(spark, name, *rows):
+    """A declared table from dicts; absent columns are NULL."""
+    kinds = TABLES[name]
+    texts = [tuple(None if row.get(c) is None else str(row[c]) for c in kinds) for row in rows]
+    frame = spark.createDataFrame(texts, ", ".join(f"{c} string" for c in kinds))
+    return frame.select(*(frame[c].cast(kind).alias(c) for c, kind in kinds.items()))
