@@ -114,7 +114,7 @@ def refresh(
 
     target.write(STAGED, stage(read_order_lines(spark, raw_path)))
     staged = target[STAGED]
-    size_shuffles(staged)
+    size_shuffles(spark, target.path(STAGED))
     if strict:
         _require_none(quality.upsert_conflicts(staged), "conflicting rows for one id")
 

@@ -6,6 +6,7 @@ import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SHUFFLE_INPUT_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
@@ -23,17 +24,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(df: DataFrame) -> int:
-    """Set the initial number of shuffle partitions from the size of the scanned files.
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Set the initial number of shuffle partitions from the size of a stored table.
 
     AQE merges partitions that turn out small but cannot split an aggregation, so the start value
     has to grow with the input. It never goes below the session's own setting.
     """
-    spark = df.sparkSession
-    scanned = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    stored = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     wanted = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(MAX_SHUFFLE_PARTITIONS, math.ceil(scanned / SHUFFLE_INPUT_BYTES)),
+        min(MAX_SHUFFLE_PARTITIONS, math.ceil(stored / SHUFFLE_INPUT_BYTES)),
     )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
