@@ -143,7 +143,7 @@ def _once(condition: str) -> str:
     return f"COUNT(DISTINCT CASE WHEN {condition} THEN order_id END)"
 
 
-_TABLES = {
+TABLES = {
     "clean_lines": _LINES,
     "lines": "SELECT * FROM clean_lines",
     "existing_user": "SELECT c_custkey * 2 AS user_id, "
@@ -354,7 +354,7 @@ def _union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-_REPORTS = {
+REPORTS = {
     "dq_pk_duplicates": _union(
         f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS key_value, "
         f"COUNT(*) AS dup_cnt FROM {table} WHERE {key} IS NOT NULL GROUP BY {key} "
@@ -384,9 +384,12 @@ _REPORTS = {
 }
 
 
-def _statement(body: str, dirty: bool = False) -> str:
-    """Put the tables a statement names, and the ones those name, in front of it."""
-    tables = {**_TABLES, "lines": _DIRTY_LINES} if dirty else _TABLES
+def statement(body: str, lines: str = TABLES["lines"]) -> str:
+    """Put the tables a statement names, and the ones those name, in front of it.
+
+    ``lines`` is the query for the order lines everything starts from.
+    """
+    tables = {**TABLES, "lines": lines}
     needed: list[str] = []
 
     def add(sql: str) -> None:
@@ -403,11 +406,11 @@ def _statement(body: str, dirty: bool = False) -> str:
 
 
 ORACLES = {
-    "stage_delivery_raw": _statement(_TABLES["lines"]),
-    "dim_user_upsert": _statement(_TABLES["dim_user"]),
-    "dim_driver_upsert": _statement(_TABLES["dim_driver"]),
+    "stage_delivery_raw": statement(TABLES["lines"]),
+    "dim_user_upsert": statement(TABLES["dim_user"]),
+    "dim_driver_upsert": statement(TABLES["dim_driver"]),
     **{
-        name: _statement(_TABLES[name])
+        name: statement(TABLES[name])
         for name in (
             "dim_category",
             "dim_payment_type",
@@ -428,11 +431,11 @@ ORACLES = {
             "items_mart",
         )
     },
-    "fact_row_counts": _statement(
+    "fact_row_counts": statement(
         _union(
             f"SELECT '{name}' AS table_name, COUNT(*) AS row_cnt FROM {name}"
             for name in ("fact_order", "fact_order_item", "fact_order_driver_assignment")
         )
     ),
-    **{name: _statement(sql, dirty=True) for name, sql in _REPORTS.items()},
+    **{name: statement(sql, _DIRTY_LINES) for name, sql in REPORTS.items()},
 }

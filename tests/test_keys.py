@@ -1,0 +1,77 @@
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from orderstar.operators.keys import dense_ranks, with_dense_key
+
+
+def test_dense_key_is_the_position_in_byte_order(spark):
+    names = [f"{prefix}{i}" for prefix in ("a", "Z", "я", " ", "é", "😀") for i in range(200)]
+    random.Random(1).shuffle(names)
+    frame = spark.createDataFrame([(n,) for n in names], "name string").repartition(7)
+    got = {r.name: r.key for r in with_dense_key(frame, "key", ["name"]).collect()}
+    wanted = sorted(names, key=lambda n: n.encode())
+    assert got == {n: i for i, n in enumerate(wanted, 1)}
+
+
+def test_dense_key_over_many_range_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), F.lit("x").alias("t"))
+        keyed = with_dense_key(frame, "key", ["t", "v"])
+        assert keyed.filter("key != v + 1").isEmpty()
+        assert keyed.select("key").distinct().count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_dense_key_of_nothing(spark):
+    frame = spark.createDataFrame([], "name string")
+    keyed = with_dense_key(frame, "key", ["name"])
+    assert keyed.columns == ["key", "name"] and keyed.isEmpty()
+
+
+def _rank_orders():
+    return {
+        "down": [F.desc_nulls_first("units"), F.asc_nulls_last("item")],
+        "up": [F.asc_nulls_last("units"), F.asc_nulls_last("item")],
+    }
+
+
+def test_hot_groups_rank_like_a_window(spark):
+    """One group holds a third of the rows; ties, repeated rows and NULL groups included."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(3000):
+        place = "hot" if i % 3 == 0 else rng.choice(["a", "b", "c", None])
+        store = 1 if place == "hot" else rng.choice([1, 2, None])
+        units = rng.choice([None, *range(6)])
+        rows.append((place, store, units, rng.randrange(400), i))
+    frame = spark.createDataFrame(
+        rows, "place string, store bigint, units bigint, item bigint, id int"
+    ).repartition(5)
+    group, by = ["place", "store"], ["units", "item"]
+    got = dense_ranks(frame, group, by, _rank_orders(), hot_group_rows=300)
+    wanted = frame
+    for name, order in _rank_orders().items():
+        wanted = wanted.withColumn(
+            name, F.dense_rank().over(Window.partitionBy(*group).orderBy(*order))
+        )
+
+    def content(df):
+        return sorted(tuple(str(v) for v in r) for r in df.select(wanted.columns).collect())
+
+    assert content(got) == content(wanted)
+    assert got.count() == 3000
+
+
+def test_size_bound_only_decides_which_way(spark):
+    frame = spark.range(100).select(
+        F.lit("g").alias("place"), F.col("id").alias("units"), F.col("id").alias("item")
+    )
+    orders = {"up": [F.asc("units"), F.asc("item")]}
+    many = frame.unionByName(frame)
+    for limit in (50, 150, 500):
+        got = dense_ranks(frame, ["place"], ["units", "item"], orders, many, limit)
+        assert got.filter("up != units + 1").isEmpty()
