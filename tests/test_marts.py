@@ -3,6 +3,9 @@
 from datetime import date
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
+from orderstar.functions.columns import ratio
 from orderstar.operators import items_mart as im
 from orderstar.operators.orders_mart import orders_mart
 
@@ -103,15 +106,15 @@ def test_ratios_are_null_without_delivered_orders_or_users(spark):
 
 
 def test_ratios_are_rounded_once(spark):
-    # Revenue 1.034999 over one order is 1.03; rounding to 8 or fewer digits first keeps it so.
-    thirds = [order(i, is_delivered=True, user_id=1) for i in (1, 2, 3)]
-    lines = [line(1, 1, "3.11", pct="0.16")]
-    (row,) = mart(spark, thirds, lines)
-    # 3.11 * 0.9984 = 3.105024; / 3 = 1.035008
-    assert row.avg_check == Decimal("1.04")
-    (row,) = mart(spark, thirds, [line(1, 1, "3.105"[:4], pct=0), line(2, 1, "0.01", pct="50")])
-    # 3.10 + 0.005 = 3.105; / 3 = 1.035 exactly, half away from zero
-    assert row.avg_check == Decimal("1.04")
+    wide = F.lit("1034.999999").cast("decimal(38,8)")
+    got = spark.range(1).select(
+        ratio(wide, F.lit(1000)).cast("decimal(18,2)").alias("below_half"),
+        ratio(F.lit("3.105").cast("decimal(38,8)"), F.lit(3)).cast("decimal(18,2)").alias("half"),
+        ratio(F.lit(-3.105), F.lit(3)).cast("decimal(18,2)").alias("negative_half"),
+        ratio(wide, F.lit(0)).alias("by_zero"),
+    )
+    # 1.034999999 would become 1.03500000 and then 1.04 if it were first cut to eight digits.
+    assert tuple(got.first()) == (Decimal("1.03"), Decimal("1.04"), Decimal("-1.04"), None)
 
 
 def test_cancel_counts(spark):

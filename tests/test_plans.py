@@ -1,0 +1,121 @@
+"""The physical plans: what is read, what is shuffled, and what happens to a hot key."""
+
+import contextlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderstar.operators.items_mart import items_daily_base
+from orderstar.plans.catalog import QUERIES, layers
+
+from .helpers import table
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_pair_enumeration_and_no_python(spark, sf_dir, name):
+    layers(spark, sf_dir)
+    query = QUERIES[name](spark, sf_dir)
+    for values in ({}, NO_BROADCAST):
+        with settings(spark, values):
+            plan = plan_of(query.select("*"))
+            assert not re.search("CartesianProduct|NestedLoop|Python|InPandas", plan)
+
+
+def test_only_needed_columns_are_read(spark, sf_dir):
+    plan = plan_of(QUERIES["dim_category"](spark, sf_dir))
+    assert "Scan ExistingRDD" in plan  # the numbering is fixed by a checkpoint
+    stats = plan_of(QUERIES["order_driver_stats"](spark, sf_dir))
+    assert "ReadSchema: struct<order_id:bigint,driver_id:bigint>" in stats
+    lines = plan_of(QUERIES["fact_order_driver_assignment"](spark, sf_dir))
+    assert "user_phone" not in lines and "PushedFilters: [IsNotNull(order_id), IsNotNull(driver_id)]" in lines
+
+
+def test_daily_base_shuffles_the_lines_once_before_folding(spark, sf_dir):
+    with settings(spark, NO_BROADCAST):
+        plan = plan_of(QUERIES["items_daily_base"](spark, sf_dir))
+    # The fold per (order, item) uses the partitioning of the order join: no exchange between.
+    fold = plan.index("HashAggregate(keys=[order_id")
+    join = plan.index("SortMergeJoin [order_id")
+    assert fold < join and "Exchange" not in plan[fold:join]
+    assert "Expand" not in plan
+
+
+def test_orders_mart_expands_only_for_users_and_drivers(spark, sf_dir):
+    with settings(spark, NO_BROADCAST):
+        plan = plan_of(QUERIES["orders_mart"](spark, sf_dir))
+    assert plan.count("+- Expand") == 1
+    projections = next(line for line in plan.splitlines() if "+- Expand" in line)
+    # Plain measures, users and drivers; the six order counts need no copy of the rows.
+    assert projections.split("]], [")[0].count("[report_date") == 3
+
+
+def test_a_hot_order_is_split_over_tasks(spark, sf_dir):
+    """One order holds a third of all lines: AQE splits its join partition."""
+    t = layers(spark, sf_dir)
+    orders = t["fact_order"]
+    hot = orders.agg(F.min("order_id").alias("order_id"))
+    extra = (
+        spark.range(0, 60_000, 1, 8)
+        .crossJoin(hot)
+        .select(
+            "order_id",
+            (F.col("id") % 200 + 1).alias("item_id"),
+            F.lit(1).alias("ordered_quantity"),
+            F.lit(0).alias("canceled_quantity"),
+            F.col("id").cast("decimal(10,2)").alias("item_price"),
+            F.lit(0).cast("decimal(10,2)").alias("item_discount_pct"),
+            F.lit(None).cast("bigint").alias("replaced_by_item_id"),
+        )
+    )
+    lines = t["fact_order_item"].unionByName(extra)
+
+    def daily():
+        return items_daily_base(
+            lines, orders, t["dim_item"], t["dim_category"], t["dim_address"], t["dim_city"]
+        )
+
+    usual = daily().collect()
+    small = {
+        **NO_BROADCAST,
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    with settings(spark, small):
+        split = daily()
+        rows = split.collect()
+        assert "SortMergeJoin(skew=true) [order_id" in plan_of(split)
+    assert sorted(map(str, rows)) == sorted(map(str, usual))
+
+
+def test_mart_files_stay_balanced_per_date(spark, sf_dir):
+    t = layers(spark, sf_dir)
+    t["orders_mart"]
+    files = t["orders_mart"].select("report_date", F.input_file_name().alias("f")).distinct()
+    assert files.groupBy("report_date").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_small_frames_have_declared_types(spark):
+    assert table(spark, "dim_city", {"city_id": 1}).dtypes == [("city_id", "bigint"), ("city_name", "string")]

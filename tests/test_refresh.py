@@ -1,0 +1,126 @@
+from pathlib import Path
+
+import pytest
+
+from orderstar.plans.catalog import layers
+from orderstar.plans.refresh import ConstraintViolation, audit, refresh
+from orderstar.schemas import DIMENSIONS, FACTS, MARTS, TABLES
+
+from .helpers import spark_content, table
+
+ALL = ["delivery_raw", *DIMENSIONS, *FACTS, *MARTS]
+
+
+@pytest.fixture(scope="module")
+def raw(spark, sf_dir):
+    return layers(spark, sf_dir).raw_path()
+
+
+@pytest.fixture(scope="module")
+def built(spark, raw, tmp_path_factory):
+    return refresh(spark, raw, str(tmp_path_factory.mktemp("warehouse")), strict=True)
+
+
+def test_all_tables_are_stored_with_their_declared_types(built):
+    for name in ALL:
+        assert dict(built[name].dtypes) == TABLES[name]
+        assert not built[name].isEmpty()
+
+
+def test_every_order_is_in_the_mart_once(built):
+    counted = built["orders_mart"].agg({"created_orders_cnt": "sum"}).first()[0]
+    assert counted == built["fact_order"].count()
+    assert {tuple(r) for r in audit(built).collect()} == {
+        (name, built[name].count()) for name in FACTS
+    }
+
+
+def test_ranks_have_no_gaps(built):
+    place = ["report_date", "city_name", "store_id"]
+    for rank in ("popularity_rank_day", "anti_popularity_rank_day"):
+        per_group = built["items_mart"].groupBy(*place).agg({rank: "max", "*": "count"})
+        assert per_group.filter(f"`max({rank})` != `count(1)`").isEmpty()
+
+
+def test_surrogate_keys_run_from_one(built):
+    for name in ("dim_category", "dim_payment_type", "dim_cancellation_reason", "dim_city", "dim_address"):
+        key = next(iter(DIMENSIONS[name]))
+        keys = sorted(r[0] for r in built[name].select(key).collect())
+        assert keys == list(range(1, len(keys) + 1))
+
+
+def test_repeating_a_refresh_changes_nothing(spark, raw, built, tmp_path):
+    again = refresh(spark, raw, str(tmp_path / "again"), previous=built.root)
+    refresh(spark, raw, str(tmp_path / "again"), previous=built.root)
+    for name in ALL:
+        assert spark_content(again[name]) == spark_content(built[name]), name
+
+
+def test_users_and_drivers_accumulate_and_the_rest_is_replaced(spark, built, tmp_path):
+    raw = str(tmp_path / "raw")
+    line = {
+        "order_id": 1,
+        "user_id": 10**9,
+        "user_phone": "new",
+        "address_text": "Riga, 1",
+        "created_at": "2024-05-01 00:00:00",
+    }
+    table(spark, "delivery_raw", line).write.parquet(raw)
+    later = refresh(spark, raw, str(tmp_path / "later"), previous=built.root)
+    assert later["dim_user"].count() == built["dim_user"].count() + 1
+    assert later["dim_driver"].count() == built["dim_driver"].count()
+    assert later["fact_order"].count() == 1 and later["items_mart"].isEmpty()
+    assert [r.city_name for r in later["dim_city"].collect()] == ["Riga"]
+
+
+def test_the_previous_warehouse_is_never_the_target(spark, raw, tmp_path):
+    with pytest.raises(ValueError, match="another folder"):
+        refresh(spark, raw, str(tmp_path), previous=f"{tmp_path}/")
+
+
+def test_marts_are_laid_out_by_date(built):
+    folder = Path(built.path("orders_mart"))
+    dates = {p.name for p in folder.iterdir() if p.is_dir()}
+    assert all(d.startswith("report_date=2024-") for d in dates)
+    plan = built["items_mart"].filter("report_date = DATE'2024-01-03'")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(report_date" in text
+
+
+def dirty_line(**more):
+    return {
+        "order_id": 1,
+        "user_id": 1,
+        "user_phone": "a",
+        "driver_id": 1,
+        "address_text": "Riga, 1",
+        "store_id": 1,
+        "store_address": "S, Riga, 1",
+        "item_id": 1,
+        "item_title": "t",
+        "item_category": "c",
+        **more,
+    }
+
+
+@pytest.mark.parametrize(
+    ("second", "message"),
+    [
+        ({"user_phone": "b"}, "conflicting rows.*dim_user"),
+        ({"store_address": "S, Riga, 2"}, "duplicate keys.*dim_store"),
+        ({"item_title": "u"}, "duplicate keys.*dim_item"),
+        ({"item_id": 2, "item_title": None}, "NULL in a NOT NULL column.*item_title"),
+        ({"order_id": 2, "address_text": None}, "without a parent.*fact_order_item.order_id"),
+        ({"order_id": 2, "store_id": 2, "store_address": "S, Oslo"}, "without a parent.*fact_order.store_id"),
+        ({"item_id": 2, "item_category": None}, "without a parent.*fact_order_item.item_id"),
+    ],
+)
+def test_strict_refresh_stops_at_a_broken_constraint(spark, tmp_path, second, message):
+    raw = str(tmp_path / "raw")
+    table(spark, "delivery_raw", dirty_line(), dirty_line(**second)).write.parquet(raw)
+    target = str(tmp_path / "strict")
+    with pytest.raises(ConstraintViolation, match=message):
+        refresh(spark, raw, target, strict=True)
+    assert not (Path(target) / "mart").exists()
+    # Without strict the same lines give marts.
+    assert not refresh(spark, raw, str(tmp_path / "lax"))["orders_mart"].isEmpty()
