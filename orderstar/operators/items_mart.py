@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import calendar, discounted_sum
 from ..schemas import conform
-from .keys import HOT_GROUP_ROWS, dense_ranks
+from .keys import HOT_GROUP_ROWS, range_ranks, split_hot, window_ranks
 
 PLACE = ["city_name", "store_id"]
 
@@ -79,12 +79,23 @@ def _popularity(units: str, suffix: str) -> dict[str, list[Column]]:
 
 
 def _period_rank(daily: DataFrame, period: str, suffix: str, hot_group_rows: int) -> DataFrame:
+    """Sum units per period and item, then rank the items of each period and place.
+
+    Ordinary groups are shuffled once, by the ranking group: sum and ranks both work on that
+    (rows of an item are scattered over the stored files, so summing before would save little).
+    Hot groups are summed by item first and ranked in range partitions.
+    """
     group = [period, *PLACE]
-    totals = daily.groupBy(*group, "item_id").agg(F.sum("ordered_units").alias("units"))
     ranks = _popularity("units", suffix)
-    ranked = dense_ranks(
-        totals, group, ["units", "item_id"], ranks, daily, hot_group_rows
-    )
+
+    def totals(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*group, "item_id").agg(F.sum("ordered_units").alias("units"))
+
+    narrow = daily.select(*group, "item_id", "ordered_units")
+    ordinary, hot = split_hot(narrow, group, hot_group_rows)
+    ranked = window_ranks(totals(ordinary.repartition(*group)), group, ranks)
+    if hot is not None:
+        ranked = ranked.unionByName(range_ranks(totals(hot), group, ["units", "item_id"], ranks))
     return ranked.select(*group, "item_id", *(F.col(r).cast("bigint").alias(r) for r in ranks))
 
 
@@ -108,13 +119,14 @@ def items_mart(
 
     Week and month ranks are matched by plain equality: rows without a date or store get none.
     """
-    ranked = dense_ranks(
-        daily,
-        ["report_date", *PLACE],
-        ["ordered_units", "item_id"],
-        _popularity("ordered_units", "day"),
-        hot_group_rows=hot_group_rows,
-    )
+    group = ["report_date", *PLACE]
+    ranks = _popularity("ordered_units", "day")
+    ordinary, hot = split_hot(daily, group, hot_group_rows)
+    ranked = window_ranks(ordinary, group, ranks)
+    if hot is not None:
+        ranked = ranked.unionByName(
+            range_ranks(hot, group, ["ordered_units", "item_id"], ranks)
+        )
     joined = ranked.join(week_ranks, ["week_start", *PLACE, "item_id"], "left").join(
         month_ranks, ["month_start", *PLACE, "item_id"], "left"
     )

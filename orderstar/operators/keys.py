@@ -57,73 +57,77 @@ def with_dense_key(rows: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     )
 
 
-def _hot_rank(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """Dense rank of distinct (group, order columns) rows; a group may span many partitions."""
-    placed = _placed(rows, [F.col(c) for c in group] + order)
-    pieces = placed.groupBy(*group, "_part").agg(
-        F.min("_row").alias("_first"), F.count("*").alias("_size")
-    )
-    earlier = (
-        Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # At most (partitions + hot groups) rows, and hot groups hold HOT_GROUP_ROWS rows each.
-    starts = pieces.select(
-        *(F.col(c).alias(f"_g_{c}") for c in group),
-        F.col("_part").alias("_g__part"),
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    on = same(placed, starts, [*group, "_part"], "_g_")
-    return placed.join(F.broadcast(starts), on).select(
-        *rows.columns, (F.col("_row") + F.col("_shift") + 1).alias(name)
-    )
+Ranks = dict[str, list[Column]]
 
 
-def dense_ranks(
-    rows: DataFrame,
-    group: list[str],
-    by: list[str],
-    ranks: dict[str, list[Column]],
-    size_bound: DataFrame | None = None,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Add one dense rank per entry of ``ranks``, each an order over the columns ``by``.
+def split_hot(
+    rows: DataFrame, group: list[str], hot_group_rows: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary groups, and rows of groups with more than ``hot_group_rows`` rows.
 
-    Ordinary groups take a window. Groups with more than ``hot_group_rows`` rows are ranked in
-    range partitions, so that no task gets a whole one. ``size_bound`` is a frame with the group
-    columns and at least as many rows per group, if counting it is cheaper than counting ``rows``.
+    The second part is None where no group is that large, which one narrow count decides.
     """
-    rows_of = rows if size_bound is None else size_bound
     hot = (
-        rows_of.groupBy(*group)
+        rows.groupBy(*group)
         .agg(F.count("*").alias("_size"))
         .filter(F.col("_size") > hot_group_rows)
     )
-
-    def windowed(part: DataFrame) -> DataFrame:
-        return part.select(
-            "*",
-            *(
-                F.dense_rank().over(Window.partitionBy(*group).orderBy(*order)).alias(name)
-                for name, order in ranks.items()
-            ),
-        )
-
     if hot.isEmpty():
-        return windowed(rows)
-
+        return rows, None
     # Each hot group holds over hot_group_rows rows, so there are few of them.
     marks = hot.select(*(F.col(c).alias(f"_g_{c}") for c in group), F.lit(True).alias("_hot"))
     marked = rows.join(F.broadcast(marks), same(rows, marks, group, "_g_"), "left")
-    ordinary = marked.filter(F.col("_hot").isNull()).select(*rows.columns)
-    large = marked.filter(F.col("_hot")).select(*rows.columns)
+    return (
+        marked.filter(F.col("_hot").isNull()).select(*rows.columns),
+        marked.filter(F.col("_hot")).select(*rows.columns),
+    )
+
 
-    positions = large.select(*group, *by).distinct()
+def window_ranks(rows: DataFrame, group: list[str], ranks: Ranks) -> DataFrame:
+    """Add one dense rank per entry of ``ranks``; a group is ranked inside one task."""
+    return rows.select(
+        "*",
+        *(
+            F.dense_rank().over(Window.partitionBy(*group).orderBy(*order)).alias(name)
+            for name, order in ranks.items()
+        ),
+    )
+
+
+def range_ranks(rows: DataFrame, group: list[str], by: list[str], ranks: Ranks) -> DataFrame:
+    """The same ranks for groups of any size: a group is spread over range partitions.
+
+    ``by`` names the columns the orders use. Distinct values are ranked, then matched to the rows.
+    """
+    values = [*group, *by]
+    positions = rows.select(*values).distinct()
     for name, order in ranks.items():
-        ranked = _hot_rank(positions, group, order, name)
-        ranked = ranked.select(
-            *(F.col(c).alias(f"_p_{c}") for c in [*group, *by]), F.col(name)
+        ranked = _positions_in_group(positions, group, order, name).select(
+            *(F.col(c).alias(f"_p_{c}") for c in values), name
         )
-        large = large.join(ranked, same(large, ranked, [*group, *by], "_p_")).drop(
-            *(f"_p_{c}" for c in [*group, *by])
+        rows = rows.join(ranked, same(rows, ranked, values, "_p_")).drop(
+            *(f"_p_{c}" for c in values)
         )
-    return windowed(ordinary).unionByName(large)
+    return rows
+
+
+def _positions_in_group(
+    rows: DataFrame, group: list[str], order: list[Column], name: str
+) -> DataFrame:
+    placed = _placed(rows, [F.col(c) for c in group] + order)
+    pieces = placed.groupBy(*group, "_part").agg(
+        F.min("_row").alias("_first"), F.count("*").alias("_size")
+    )
+    earlier = (
+        Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # At most one row per partition and per hot group, so it stays small.
+    starts = pieces.select(
+        *(F.col(c).alias(f"_g_{c}") for c in group),
+        F.col("_part").alias("_g__part"),
+        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    on = same(placed, starts, [*group, "_part"], "_g_")
+    return placed.join(F.broadcast(starts), on).select(
+        *rows.columns, (F.col("_row") + F.col("_shift") + 1).alias(name)
+    )

@@ -6,8 +6,8 @@ shared folder, as the layers of a warehouse are; the query itself is then comput
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +27,9 @@ class Layers:
     def __init__(self, spark: SparkSession, folder: str, dirty: bool = False):
         self.spark, self.folder, self.dirty = spark, folder, dirty
         run = spark.sparkContext.applicationId
+        given = hashlib.sha1(folder.encode()).hexdigest()[:12]
         variant = "dirty" if dirty else "clean"
-        root = f"{shared_folder(spark)}/orderstar/{run}/{PurePath(folder).name}-{variant}"
+        root = f"{shared_folder(spark)}/orderstar/{run}/{given}-{variant}"
         self.store = Warehouse(spark, root)
         self.built: set[str] = set()
 

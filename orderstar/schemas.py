@@ -6,6 +6,9 @@ written or read goes through them.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 DELIVERY_RAW = {
     "order_id": "bigint",
     "user_id": "bigint",
@@ -223,6 +226,6 @@ def ddl(table: str) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in TABLES[table].items())
 
 
-def conform(df, table: str):
+def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the declared columns in order, cast to the declared types."""
-    return df.select(*(df[name].cast(kind).alias(name) for name, kind in TABLES[table].items()))
+    return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in TABLES[table].items()))

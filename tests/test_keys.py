@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderstar.operators.keys import dense_ranks, with_dense_key
+from orderstar.operators.keys import range_ranks, split_hot, window_ranks, with_dense_key
 
 
 def test_dense_key_is_the_position_in_byte_order(spark):
@@ -52,9 +52,12 @@ def test_hot_groups_rank_like_a_window(spark):
         rows, "place string, store bigint, units bigint, item bigint, id int"
     ).repartition(5)
     group, by = ["place", "store"], ["units", "item"]
-    got = dense_ranks(frame, group, by, _rank_orders(), hot_group_rows=300)
+    orders = _rank_orders()
+    ordinary, hot = split_hot(frame, group, 300)
+    assert hot.count() >= 1000 and ordinary.count() + hot.count() == 3000
+    got = window_ranks(ordinary, group, orders).unionByName(range_ranks(hot, group, by, orders))
     wanted = frame
-    for name, order in _rank_orders().items():
+    for name, order in orders.items():
         wanted = wanted.withColumn(
             name, F.dense_rank().over(Window.partitionBy(*group).orderBy(*order))
         )
@@ -66,12 +69,9 @@ def test_hot_groups_rank_like_a_window(spark):
     assert got.count() == 3000
 
 
-def test_size_bound_only_decides_which_way(spark):
-    frame = spark.range(100).select(
-        F.lit("g").alias("place"), F.col("id").alias("units"), F.col("id").alias("item")
-    )
-    orders = {"up": [F.asc("units"), F.asc("item")]}
-    many = frame.unionByName(frame)
-    for limit in (50, 150, 500):
-        got = dense_ranks(frame, ["place"], ["units", "item"], orders, many, limit)
-        assert got.filter("up != units + 1").isEmpty()
+def test_without_a_hot_group_nothing_is_split(spark):
+    frame = spark.range(100).select(F.lit("g").alias("place"), "id")
+    ordinary, hot = split_hot(frame, ["place"], 100)
+    assert ordinary is frame and hot is None
+    ordinary, hot = split_hot(frame, ["place"], 99)
+    assert ordinary.isEmpty() and hot.count() == 100
