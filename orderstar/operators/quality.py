@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS
 
-Tables = Mapping[str, DataFrame]
+
+class Tables(Protocol):
+    """Anything that gives a table by name: a warehouse, or a dict of frames."""
+
+    def __getitem__(self, name: str) -> DataFrame: ...
+
 
 
 def _together(parts: Iterable[DataFrame]) -> DataFrame:

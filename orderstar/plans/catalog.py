@@ -18,7 +18,7 @@ from ..operators.staging import stage
 from ..session import shared_folder, tune
 from ..sources import samples
 from ..sources.files import Warehouse, read_order_lines
-from .refresh import BUILD, STAGED, audit, constrained
+from .refresh import BUILD, STAGED, audit
 
 
 class Layers:
@@ -99,8 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "items_week_rank": _clean(lambda t: items_week_rank(t["items_daily_base"])),
     "items_month_rank": _clean(lambda t: items_month_rank(t["items_daily_base"])),
-    "dq_pk_duplicates": _dirty(lambda t: quality.pk_duplicates(constrained(t))),
-    "dq_fk_orphans": _dirty(lambda t: quality.fk_orphans(constrained(t))),
-    "dq_not_null": _dirty(lambda t: quality.null_violations(constrained(t))),
+    "dq_pk_duplicates": _dirty(quality.pk_duplicates),
+    "dq_fk_orphans": _dirty(quality.fk_orphans),
+    "dq_not_null": _dirty(quality.null_violations),
     "dq_upsert_conflicts": _dirty(lambda t: quality.upsert_conflicts(t[STAGED])),
 }

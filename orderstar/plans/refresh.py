@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from ..operators.items_mart import (
 )
 from ..operators.orders_mart import orders_mart
 from ..operators.staging import stage
-from ..schemas import DIMENSIONS, FACTS, FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS
+from ..schemas import FACTS
 from ..session import size_shuffles, tune
 from ..sources.files import Warehouse, read_order_lines
 
@@ -85,36 +86,35 @@ def _require_none(report: DataFrame, what: str) -> None:
         raise ConstraintViolation(f"{what}: {shown}")
 
 
-def _check_core(tables: Warehouse) -> None:
-    _require_none(quality.pk_duplicates(tables, UNIQUE_KEYS), "duplicate keys")
-    nulls = quality.null_violations(tables, NOT_NULL)
-    _require_none(nulls.filter("null_rows > 0"), "NULL in a NOT NULL column")
-    orphans = quality.fk_orphans(tables, FOREIGN_KEYS)
-    _require_none(orphans.filter("orphan_rows > 0"), "rows without a parent")
+def _write_steps(steps: list[list[str]], write: Callable[[str], None]) -> None:
+    with ThreadPoolExecutor() as pool:
+        for step in steps:
+            list(pool.map(write, step))
 
 
-def refresh(
-    spark: SparkSession,
-    raw_path: str,
-    root: str,
-    previous: str | None = None,
-    strict: bool = False,
-) -> Warehouse:
-    """Build a whole warehouse folder from raw order lines.
-
-    ``previous`` names an earlier warehouse whose users and drivers are carried over; it must be
-    another folder, so a failed run never harms it and can simply be repeated. With ``strict``
-    the first broken constraint ends the run before any mart is written.
-    """
-    target = Warehouse(spark, root)
-    earlier = Warehouse(spark, previous) if previous else None
+def _earlier(target: Warehouse, previous: str | None) -> Warehouse | None:
+    earlier = Warehouse(target.spark, previous) if previous else None
     if earlier and earlier.root == target.root:
         raise ValueError("previous must be another folder than the one being written")
-    tune(spark)
+    return earlier
 
+
+def load_staging(spark: SparkSession, raw_path: str, root: str) -> Warehouse:
+    """Replace the staging table by the order lines found at ``raw_path``."""
+    target = Warehouse(spark, root)
     target.write(STAGED, stage(read_order_lines(spark, raw_path)))
-    staged = target[STAGED]
+    return target
+
+
+def build_core(
+    spark: SparkSession, root: str, previous: str | None = None, strict: bool = False
+) -> Warehouse:
+    """Build dimensions and facts from the staging table."""
+    target = Warehouse(spark, root)
+    earlier = _earlier(target, previous)
+    tune(spark)
     size_shuffles(spark, target.path(STAGED))
+    staged = target[STAGED]
     if strict:
         _require_none(quality.upsert_conflicts(staged), "conflicting rows for one id")
 
@@ -127,23 +127,44 @@ def refresh(
             rows = BUILD[table](target)
         target.write(table, rows)
 
-    def write_all(steps: list[list[str]]) -> None:
-        with ThreadPoolExecutor() as pool:
-            for step in steps:
-                list(pool.map(write, step))
-
-    write_all([[*merges, *CORE_STEPS[0]], *CORE_STEPS[1:]])
+    _write_steps([[*merges, *CORE_STEPS[0]], *CORE_STEPS[1:]], write)
     if strict:
-        _check_core(target)
-    write_all(MART_STEPS)
+        _require_none(quality.pk_duplicates(target), "duplicate keys")
+        nulls = quality.null_violations(target)
+        _require_none(nulls.filter("null_rows > 0"), "NULL in a NOT NULL column")
+        orphans = quality.fk_orphans(target)
+        _require_none(orphans.filter("orphan_rows > 0"), "rows without a parent")
+    return target
+
+
+def build_marts(spark: SparkSession, root: str) -> Warehouse:
+    """Build the daily item sales and both marts from the core tables."""
+    target = Warehouse(spark, root)
+    tune(spark)
+    size_shuffles(spark, target.path("fact_order_item"))
+    _write_steps(MART_STEPS, lambda table: target.write(table, BUILD[table](target)))
     return target
 
 
+def refresh(
+    spark: SparkSession,
+    raw_path: str,
+    root: str,
+    previous: str | None = None,
+    strict: bool = False,
+) -> Warehouse:
+    """Build a whole warehouse folder from raw order lines.
+
+    ``previous`` names an earlier warehouse whose users and drivers are carried over; it must be
+    another folder, so a failed run never harms it and can simply be repeated. With ``strict``
+    the first broken constraint ends the run before any mart is written.
+    """
+    _earlier(Warehouse(spark, root), previous)
+    load_staging(spark, raw_path, root)
+    build_core(spark, root, previous, strict)
+    return build_marts(spark, root)
+
+
 def audit(tables: Warehouse) -> DataFrame:
     """Row counts of the facts."""
     return facts.row_counts({name: tables[name] for name in FACTS})
-
-
-def constrained(tables: Warehouse) -> dict[str, DataFrame]:
-    """The tables that carry constraints."""
-    return {name: tables[name] for name in [*DIMENSIONS, *FACTS]}

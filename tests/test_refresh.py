@@ -2,9 +2,11 @@ from pathlib import Path
 
 import pytest
 
+from orderstar.__main__ import main
 from orderstar.plans.catalog import layers
 from orderstar.plans.refresh import ConstraintViolation, audit, refresh
 from orderstar.schemas import DIMENSIONS, FACTS, MARTS, TABLES
+from orderstar.sources.files import Warehouse
 
 from .helpers import spark_content, table
 
@@ -76,6 +78,7 @@ def test_users_and_drivers_accumulate_and_the_rest_is_replaced(spark, built, tmp
 def test_the_previous_warehouse_is_never_the_target(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="another folder"):
         refresh(spark, raw, str(tmp_path), previous=f"{tmp_path}/")
+    assert not list(tmp_path.iterdir())
 
 
 def test_marts_are_laid_out_by_date(built):
@@ -124,3 +127,14 @@ def test_strict_refresh_stops_at_a_broken_constraint(spark, tmp_path, second, me
     assert not (Path(target) / "mart").exists()
     # Without strict the same lines give marts.
     assert not refresh(spark, raw, str(tmp_path / "lax"))["orders_mart"].isEmpty()
+
+
+def test_steps_give_the_same_as_a_refresh(spark, raw, built, tmp_path, capsys):
+    root = str(tmp_path / "steps")
+    main(["load", raw, root])
+    main(["core", root, "--strict"])
+    main(["marts", root])
+    assert "fact_order_driver_assignment" in capsys.readouterr().out
+    stepwise = Warehouse(spark, root)
+    for name in ALL:
+        assert spark_content(stepwise[name]) == spark_content(built[name]), name
