@@ -80,7 +80,7 @@ def random_lines(seed, count=400):
         }
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_refresh_equals_sql_on_random_lines(spark, duck, tmp_path, seed):
     raw = str(tmp_path / "raw")
     table(spark, "delivery_raw", *random_lines(seed)).repartition(3).write.parquet(raw)
