@@ -34,6 +34,8 @@ def stage(raw: DataFrame) -> DataFrame:
     A column the staging table does not declare is an error, as is a value of another kind.
     """
     given = {field.name.lower(): field for field in raw.schema.fields}
+    if len(given) < len(raw.columns):
+        raise ValueError(f"column names repeat: {', '.join(raw.columns)}")
     unknown = sorted(set(given) - set(DELIVERY_RAW))
     if unknown:
         raise ValueError(f"columns not in delivery_raw: {', '.join(unknown)}")

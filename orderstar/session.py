@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHUFFLE_INPUT_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+# More reducers would cut a very large shuffle into blocks too small to fetch well; beyond this,
+# partitions grow and spill instead.
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def tune(spark: SparkSession) -> SparkSession:

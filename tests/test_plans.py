@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from orderstar.operators.facts import fact_order
 from orderstar.operators.items_mart import items_daily_base
 from orderstar.plans.catalog import QUERIES, layers
 
@@ -30,6 +31,16 @@ def settings(spark, values):
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
 
+# Thresholds at which the few rows of a test count as skewed.
+SMALL_SKEW = {
+    **NO_BROADCAST,
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_enumeration_and_no_python(spark, sf_dir, name):
@@ -95,21 +106,36 @@ def test_a_hot_order_is_split_over_tasks(spark, sf_dir):
         )
 
     usual = daily().collect()
-    small = {
-        **NO_BROADCAST,
-        "spark.sql.shuffle.partitions": "16",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    with settings(spark, small):
+    with settings(spark, SMALL_SKEW):
         split = daily()
         rows = split.collect()
         assert "SortMergeJoin(skew=true) [order_id" in plan_of(split)
     assert sorted(map(str, rows)) == sorted(map(str, usual))
 
 
+def test_a_hot_address_is_split_over_tasks(spark, sf_dir):
+    """A third of all orders go to one address: AQE splits the text join of the order fact."""
+    t = layers(spark, sf_dir)
+    lines = t["delivery_raw"]
+    hot = lines.agg(F.min("address_text")).first()[0]
+    extra = lines.withColumns(
+        {"order_id": F.col("order_id") + 10**9, "address_text": F.lit(hot)}
+    )
+    staged = lines.unionByName(extra)
+
+    def orders():
+        return fact_order(
+            staged, t["dim_address"], t["dim_payment_type"], t["dim_cancellation_reason"]
+        )
+
+    usual = orders().collect()
+    with settings(spark, SMALL_SKEW):
+        split = orders()
+        rows = split.collect()
+        assert "SortMergeJoin(skew=true) [address_text" in plan_of(split)
+    assert sorted(map(str, rows)) == sorted(map(str, usual))
+
+
 def test_mart_files_stay_balanced_per_date(spark, sf_dir):
     t = layers(spark, sf_dir)
     t["orders_mart"]

@@ -1,0 +1,40 @@
+from types import SimpleNamespace
+
+import pytest
+
+from orderstar import session
+
+
+def test_the_named_folder_is_used(spark):
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert spark.sparkContext.getCheckpointDir()
+
+
+def test_a_cluster_has_to_name_a_folder():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(cluster)
+
+
+def test_shuffles_grow_with_the_stored_bytes(spark, sf_dir, monkeypatch):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(setting, None)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert session.size_shuffles(spark, f"{sf_dir}/nation.parquet") == own
+        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 100)
+        wanted = session.size_shuffles(spark, f"{sf_dir}/nation.parquet")
+        assert wanted > own and spark.conf.get(setting) == str(wanted)
+        monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", own + 1)
+        assert session.size_shuffles(spark, f"{sf_dir}/nation.parquet") == own + 1
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_checkpointed_rows_read_from_the_shared_folder(spark):
+    frame = session.checkpointed(spark.range(10).repartition(3))
+    assert frame.count() == 10
+    assert frame.rdd.isCheckpointed() or "ExistingRDD" in frame._jdf.queryExecution().toString()
