@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import calendar, discounted_sum
 from ..schemas import conform
-from .keys import HOT_GROUP_ROWS, range_ranks, split_hot, window_ranks
+from .keys import (
+    HOT_GROUP_ROWS,
+    number_in_groups,
+    range_ranks,
+    split_hot,
+    window_ranks,
+)
 
 PLACE = ["city_name", "store_id"]
 
@@ -95,7 +101,7 @@ def _period_rank(daily: DataFrame, period: str, suffix: str, hot_group_rows: int
     ordinary, hot = split_hot(narrow, group, hot_group_rows)
     ranked = window_ranks(totals(ordinary.repartition(*group)), group, ranks)
     if hot is not None:
-        ranked = ranked.unionByName(range_ranks(totals(hot), group, ["units", "item_id"], ranks))
+        ranked = ranked.unionByName(number_in_groups(totals(hot), group, ranks))
     return ranked.select(*group, "item_id", *(F.col(r).cast("bigint").alias(r) for r in ranks))
 
 

@@ -97,21 +97,23 @@ def window_ranks(rows: DataFrame, group: list[str], ranks: Ranks) -> DataFrame:
 def range_ranks(rows: DataFrame, group: list[str], by: list[str], ranks: Ranks) -> DataFrame:
     """The same ranks for groups of any size: a group is spread over range partitions.
 
-    ``by`` names the columns the orders use. Distinct values are ranked, then matched to the rows.
+    ``by`` names the columns the orders use. Their distinct values are ranked and matched to the
+    rows; NULLs match NULLs.
     """
     values = [*group, *by]
-    positions = rows.select(*values).distinct()
+    ranked = number_in_groups(rows.select(*values).distinct(), group, ranks)
+    ranked = ranked.select(*(F.col(c).alias(f"_p_{c}") for c in values), *ranks)
+    return rows.join(ranked, same(rows, ranked, values, "_p_")).select(*rows.columns, *ranks)
+
+
+def number_in_groups(rows: DataFrame, group: list[str], ranks: Ranks) -> DataFrame:
+    """Rank rows that do not tie: their position in the group, found in range partitions."""
     for name, order in ranks.items():
-        ranked = _positions_in_group(positions, group, order, name).select(
-            *(F.col(c).alias(f"_p_{c}") for c in values), name
-        )
-        rows = rows.join(ranked, same(rows, ranked, values, "_p_")).drop(
-            *(f"_p_{c}" for c in values)
-        )
+        rows = _position_in_group(rows, group, order, name)
     return rows
 
 
-def _positions_in_group(
+def _position_in_group(
     rows: DataFrame, group: list[str], order: list[Column], name: str
 ) -> DataFrame:
     placed = _placed(rows, [F.col(c) for c in group] + order)
