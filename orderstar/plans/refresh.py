@@ -59,20 +59,22 @@ BUILD = {
     ),
 }
 
-# Tables of one step do not need each other and are written at the same time.
+# Steps run one after the other. The chains of a step do not need each other and are written at the
+# same time; a chain writes its tables in order.
 CORE_STEPS = [
     [
-        "dim_category",
-        "dim_payment_type",
-        "dim_cancellation_reason",
-        "dim_city",
-        "fact_order_item",
-        "fact_order_driver_assignment",
+        ["dim_user"],
+        ["dim_driver"],
+        ["dim_city", "dim_address", "dim_store"],
+        ["dim_category", "dim_item"],
+        ["dim_payment_type"],
+        ["dim_cancellation_reason"],
+        ["fact_order_item"],
+        ["fact_order_driver_assignment"],
     ],
-    ["dim_address", "dim_item"],
-    ["dim_store", "fact_order"],
+    [["fact_order"]],
 ]
-MART_STEPS = [["orders_mart", "items_daily_base"], ["items_mart"]]
+MART_STEPS = [[["orders_mart"], ["items_daily_base", "items_mart"]]]
 
 
 class ConstraintViolation(ValueError):
@@ -86,10 +88,14 @@ def _require_none(report: DataFrame, what: str) -> None:
         raise ConstraintViolation(f"{what}: {shown}")
 
 
-def _write_steps(steps: list[list[str]], write: Callable[[str], None]) -> None:
+def _write_steps(steps: list[list[list[str]]], write: Callable[[str], None]) -> None:
+    def write_chain(chain: list[str]) -> None:
+        for table in chain:
+            write(table)
+
     with ThreadPoolExecutor() as pool:
         for step in steps:
-            list(pool.map(write, step))
+            list(pool.map(write_chain, step))
 
 
 def _earlier(target: Warehouse, previous: str | None) -> Warehouse | None:
@@ -101,7 +107,7 @@ def _earlier(target: Warehouse, previous: str | None) -> Warehouse | None:
 
 def load_staging(spark: SparkSession, raw_path: str, root: str) -> Warehouse:
     """Replace the staging table by the order lines found at ``raw_path``."""
-    target = Warehouse(spark, root)
+    target = Warehouse(tune(spark), root)
     target.write(STAGED, stage(read_order_lines(spark, raw_path)))
     return target
 
@@ -127,7 +133,7 @@ def build_core(
             rows = BUILD[table](target)
         target.write(table, rows)
 
-    _write_steps([[*merges, *CORE_STEPS[0]], *CORE_STEPS[1:]], write)
+    _write_steps(CORE_STEPS, write)
     if strict:
         _require_none(quality.pk_duplicates(target), "duplicate keys")
         nulls = quality.null_violations(target)

@@ -15,11 +15,13 @@ MAX_SHUFFLE_PARTITIONS = 20_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings the plans are designed for. Results do not depend on them.
+    """Runtime settings the plans are designed for.
 
-    ``forceOptimizeSkewedJoin`` lets AQE split a hot join key even when the aggregate above the
+    ANSI mode (the default) makes a value that does not fit its column an error instead of NULL.
+    Results do not depend on the others: ``forceOptimizeSkewedJoin`` lets AQE split a hot join key even when the aggregate above the
     join has to be shuffled again because of it; without a hot key nothing changes.
     """
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
