@@ -125,7 +125,8 @@ def identify(
         "accepted": T.BooleanType(),
     }
     kept = [c for c in (docs.columns if columns is None else columns) if c not in added]
-    rows = docs.select(docs[text].alias("_text"), *(docs[c] for c in kept))
+    read = kept if text in kept else [*kept, text]
+    rows, at = docs.select(*(docs[c] for c in read)), read.index(text)
     schema = T.StructType(
         [T.StructField(c, docs.schema[c].dataType) for c in kept]
         + [T.StructField(c, kind) for c, kind in added.items()]
@@ -135,12 +136,12 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, compressors = list(shared.value.dictionaries), _compressors(shared.value)
         for batch in batches:
-            found = [classify(t.as_py(), names, compressors) for t in batch.column(0)]
+            found = [classify(t.as_py(), names, compressors) for t in batch.column(at)]
             langs, scores, margins = zip(*found) if found else ((), (), ())
             accepted = [l != UNKNOWN and m >= min_margin for l, m in zip(langs, margins)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[1:],
+                    *batch.columns[: len(kept)],
                     pa.array(langs, pa.string()),
                     pa.array(scores, pa.float64()),
                     pa.array(margins, pa.float64()),

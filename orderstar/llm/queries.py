@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, lines, packing, sharding, simhash, tokens
+from . import decontamination, language, lines, packing, preferences, sharding, simhash, sketches, tokens
 from .common import documents, tokenizer_path
+from .oracles import ORACLES  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
@@ -30,6 +31,27 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.report(documents(spark, sf_dir), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = preferences.with_alternative_answer(preferences.conversations(turns))
+    done = preferences.format_pairs(pairs, "conv_id")
+    masks = {c: preferences.shown(F.col(c)) for c in ("chosen_mask", "rejected_mask")}
+    return done.withColumns(masks)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.count_tokens(documents(spark, sf_dir), tokenizer_path(TOKENIZER))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -62,6 +84,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path(TOKENIZER), with_ids=False)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.against_next(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        sketches.shown(F.col("sketch")).alias("fingerprint"),
+        sketches.shown(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     left = lines.LineStore.build(docs).apply(docs)
@@ -76,9 +110,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_decontamination": op3_decontamination,
+    "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
     "op8_packing": op8_packing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {}
