@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, lines, packing, preferences, sharding, simhash, sketches, tokens
+from . import decontamination, language, licenses, lines, packing, preferences, sharding, simhash, sketches, tokens
 from .common import documents, tokenizer_path
 from .oracles import ORACLES  # noqa: F401
 
@@ -80,6 +80,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = licenses.report(docs, licenses.fit(docs))
+    return found.withColumns(
+        {c: F.array_join(c, ",") for c in ("licences", "unconfirmed")}
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path(TOKENIZER), with_ids=False)
 
@@ -114,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat_format": op4_chat_format,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
+    "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
