@@ -1,0 +1,96 @@
+"""Plain statements of the results, for small inputs."""
+
+import hashlib
+import re
+from collections import defaultdict
+
+import xxhash
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SPACE = " \t\n\v\f\r"
+
+
+def simhash(text):
+    words = [w for w in re.split(f"[{SPACE}]+", (text or "").translate(LOWER)) if w]
+    runs = [words[i : i + 3] for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(" ".join(r).encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def classes(codes, distance=3):
+    """Smallest position reachable from each position over codes at most ``distance`` bits apart."""
+    root = list(range(len(codes)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(codes)):
+        for j in range(i):
+            if (codes[i] ^ codes[j]).bit_count() <= distance:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(codes))]
+
+
+def line_key(line):
+    return line.strip(SPACE).translate(LOWER)
+
+
+def line_dedup(docs):
+    """{doc_id: kept lines, number of lines} of [(doc_id, text)]."""
+    holders = defaultdict(set)
+    for key, text in docs:
+        for line in (text or "").split("\n"):
+            if len(line_key(line)) >= 20:
+                holders[line_key(line)].add(key)
+    lost = {line: max(keys) for line, keys in holders.items() if len(keys) >= 3}
+    return {
+        key: (
+            [x for x in (text or "").split("\n") if lost.get(line_key(x), key) == key],
+            len((text or "").split("\n")),
+        )
+        for key, text in docs
+    }
+
+
+def words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+
+
+def decontamination(docs, items):
+    """{doc_id: (n_words, hit places, sorted item ids)}."""
+    windows = defaultdict(set)
+    for item, text in items:
+        own = words(text)
+        size = min(10, len(own))
+        for at in range(len(own) - size + 1):
+            if size:
+                windows[tuple(own[at : at + size])].add(str(item))
+    sizes = {len(w) for w in windows}
+    result = {}
+    for key, text in docs:
+        own, hit, found = words(text), set(), set()
+        for size in sizes:
+            for at in range(len(own) - size + 1):
+                if (window := tuple(own[at : at + size])) in windows:
+                    hit |= set(range(at, at + size))
+                    found |= windows[window]
+        result[key] = (len(own), hit, sorted(found))
+    return result
+
+
+def shingle_hashes(text):
+    own = [w for w in re.split(f"[{SPACE}]+", (text or "").translate(LOWER)) if w]
+    result = set()
+    for i in range(max(1, len(own) - 4) if own else 0):
+        value = 42
+        for word in own[i : i + 5]:
+            value = xxhash.xxh64_intdigest(word.encode(), value)
+        result.add(value)
+    return result
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()

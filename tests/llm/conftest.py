@@ -1,0 +1,59 @@
+import pytest
+from pyspark.sql import types as T
+
+
+@pytest.fixture(scope="session")
+def make(spark):
+    """Documents from (doc_id, text[, lang]) rows, with columns that operators might use themselves."""
+
+    def build(*rows):
+        names = ["doc_id", "text", "lang", "source", "id", "n", "score", "_key", "words"]
+        kinds = [T.LongType(), *[T.StringType()] * 4, T.LongType(), *[T.StringType()] * 3]
+        schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
+        full = [(*r, *[None] * (3 - len(r)), "src", "i", 7, "s", "k", None) for r in rows]
+        return spark.createDataFrame(full, schema)
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def docs(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def texts(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+
+
+LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+ODD = [
+    (None, None),
+    (1, None),
+    (2, ""),
+    (3, " \n\t "),
+    (4, "one"),
+    (5, "one"),
+    (5, "one"),
+    (6, "Ein Straße — naïve 東京 \U0001f600\x1c\x85 end"),
+    (7, LONG),
+    (8, LONG),
+    (None, "without a key"),
+    (9, "." * 3000),
+    (10, "\n" * 500),
+]
+
+
+@pytest.fixture(scope="session")
+def odd(make):
+    return make(*ODD)
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    return ODD
+
+
+@pytest.fixture(scope="session")
+def empty(make, odd):
+    return odd.filter("false")

@@ -1,0 +1,57 @@
+import inspect
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from orderstar.llm import language
+from orderstar.llm.common import tokenizer_path
+
+from . import brute
+from .test_packing import check
+
+
+def collected(frame):
+    return sorted((r["doc_id"], r["text"]) for r in frame.collect())
+
+
+def test_stages_over_a_small_folder(spark, sf_dir, docs, texts):
+    """Each stage, given what the one before left, against the plain statement of its result."""
+    (_, lang), (_, line), (_, near), (_, bench), (_, packed) = corpus_pipeline.STAGES
+    model = language.fit(docs.filter(~language.held_out(F.col("doc_id"))))
+    names, coders = list(model.dictionaries), language._compressors(model)
+    rows = sorted(texts)
+
+    rows = [(k, t) for k, t in rows if language.classify(t, names, coders)[2] >= language.MIN_MARGIN]
+    after = lang(spark, docs, sf_dir).cache()
+    assert after.schema == docs.schema and collected(after) == rows
+
+    kept = brute.line_dedup(rows)
+    rows = [(k, "\n".join(kept[k][0])) for k, _ in rows if kept[k][0]]
+    after = line(spark, after, sf_dir).cache()
+    assert after.columns == docs.columns and collected(after) == rows
+
+    roots = brute.classes([brute.simhash(t) for _, t in rows])
+    rows = [row for i, row in enumerate(rows) if roots[i] == i]
+    after = near(spark, after, sf_dir).cache()
+    assert after.columns == docs.columns and collected(after) == rows
+
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    found = brute.decontamination(rows, items)
+    rows = [(k, t) for k, t in rows if not found[k][1]]
+    after = bench(spark, after, sf_dir).cache()
+    assert after.columns == docs.columns and collected(after) == rows
+
+    check(packed(spark, after, sf_dir).collect(), rows)
+    pieces = corpus_pipeline.run(spark, sf_dir).collect()
+    check(pieces, rows)
+    assert tokenizer_path("byte_bpe_50k.json")
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark, sf_dir, odd, empty):
+    for _, stage in corpus_pipeline.STAGES:
+        assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
+        stage(spark, empty, sf_dir).collect()
+        result = stage(spark, odd, sf_dir)
+        result.collect()
+        if stage is not corpus_pipeline.STAGES[-1][1]:
+            assert result.columns == odd.columns

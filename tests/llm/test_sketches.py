@@ -1,0 +1,80 @@
+import pytest
+from pyspark.sql import functions as F
+
+from orderstar.llm import sketches
+from orderstar.llm.queries import QUERIES
+
+from . import brute
+
+
+def kept(hashes):
+    return {h for h in hashes if h >> (64 - sketches.FRACTION_BITS) == 0}
+
+
+def likeness(a, b):
+    ka, kb = kept(a), kept(b)
+    if min(len(ka), len(kb)):
+        return len(ka & kb) / min(len(ka), len(kb))
+    signed = [min((h - (1 << 64) if h >> 63 else h for h in x), default=None) for x in (a, b)]
+    return float(signed[0] == signed[1])
+
+
+def expected(rows):
+    """rows: (doc_id, text), in any order."""
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    result = []
+    for (key, text), (_, after) in zip(order, order[1:] + order[:1]):
+        text, after = text or "", after or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + after[:cut]
+        own, other, following = map(brute.shingle_hashes, (text, edited, after))
+        result.append((key, len(text), brute.sha256(edited), likeness(own, other), likeness(own, following)))
+    return sorted(result, key=str)
+
+
+def found(frame):
+    rows = frame.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256), "near_edited", "near_next"
+    )
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+def test_query_equals_brute_force(spark, sf_dir, texts):
+    rows = QUERIES["op9_fingerprints"](spark, sf_dir)
+    assert sorted(map(tuple, rows.select("doc_id", "n_chars", "edited_sha256", "near_edited", "near_next").collect()), key=str) == expected(texts)
+    prints = {r["doc_id"]: r["fingerprint"] for r in rows.collect()}
+    by_text = {}
+    for key, text in texts:
+        assert by_text.setdefault(text, prints[key]) == prints[key]
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 3, 50])
+def test_neighbours_across_buckets(docs, texts, monkeypatch, bucket_rows):
+    monkeypatch.setattr(sketches, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(sketches.with_next, "__defaults__", ("doc_id", bucket_rows))
+    some = docs.filter("doc_id < 40")
+    assert found(sketches.against_next(some)) == expected([t for t in texts if t[0] < 40])
+
+
+def test_odd_rows(odd, odd_rows, empty, make, monkeypatch):
+    monkeypatch.setattr(sketches.with_next, "__defaults__", ("doc_id", 4))
+    assert found(sketches.against_next(odd)) == expected(odd_rows)
+    assert sketches.against_next(empty).count() == 0
+    assert found(sketches.against_next(make((1, "only one document here")))) == expected([(1, "only one document here")])
+    assert found(sketches.against_next(make((None, "x y"), (None, None)))) == expected([(None, "x y"), (None, None)])
+
+
+def test_sketches_merge_and_tell_containment(make):
+    long = " ".join(f"w{i}" for i in range(20_000))
+    part = " ".join(f"w{i}" for i in range(5_000, 7_000))
+    other = " ".join(f"v{i}" for i in range(3_000))
+    rows = {r["doc_id"]: r for r in sketches.fingerprints(make((1, long), (2, part), (3, other))).collect()}
+    pairs = sketches.fingerprints(make((1, long), (2, part), (3, other))).select("doc_id", "sketch")
+    a, b, c = (pairs.filter(F.col("doc_id") == i).select(F.col("sketch").alias(f"s{i}")) for i in (1, 2, 3))
+    row = a.join(b).join(c).select(
+        sketches.containment(F.col("s2"), F.col("s1")).alias("inside"),
+        sketches.containment(F.col("s3"), F.col("s1")).alias("apart"),
+        sketches.merged(F.col("s2"), F.col("s3")).alias("both"),
+    ).first()
+    assert row["inside"] > 0.99 and row["apart"] == 0
+    assert set(row["both"]["kept"]) == set(rows[2]["sketch"]["kept"]) | set(rows[3]["sketch"]["kept"])
