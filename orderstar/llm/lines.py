@@ -284,11 +284,12 @@ def _lost_line(line: bytes, gone: set[bytes], min_chars: int) -> bool:
 
 
 class LineStore:
-    """References and filters of a corpus; each change gives a new store and leaves the old one valid."""
+    """References, repeated lines and filters of a corpus; each change gives a new store and leaves the old one valid."""
 
     def __init__(
         self,
         refs: DataFrame,
+        lines: DataFrame,
         filters: DataFrame,
         key: str = "doc_id",
         text: str = "text",
@@ -296,41 +297,38 @@ class LineStore:
         min_documents: int = MIN_DOCUMENTS,
         shards: int = SHARDS,
     ):
-        self.refs, self.filters = refs, filters
+        self.refs, self.lines, self.filters = refs, lines, filters
         self.key, self.text, self.min_chars = key, text, min_chars
         self.min_documents, self.shards = min_documents, shards
 
     @classmethod
     def build(cls, docs: DataFrame, **options) -> LineStore:
         names = {k: v for k, v in options.items() if k in ("key", "text", "min_chars")}
-        empty = cls(None, None, **options)
+        empty = cls(None, None, None, **options)
         refs = stored(references(docs, **names), "line-references")
-        lines = repeated(refs, empty.min_documents)
-        return empty._with(refs, stored(build_filters(lines, empty.shards), "line-filters"))
+        lines = stored(repeated(refs, empty.min_documents), "lines")
+        return empty._with(refs, lines, stored(build_filters(lines, empty.shards), "line-filters"))
 
-    def _with(self, refs: DataFrame, filters: DataFrame) -> LineStore:
+    def _with(self, refs: DataFrame, lines: DataFrame, filters: DataFrame) -> LineStore:
         return LineStore(
-            refs, filters, self.key, self.text, self.min_chars, self.min_documents, self.shards
+            refs, lines, filters, self.key, self.text, self.min_chars, self.min_documents, self.shards
         )
 
     def _changed(self, refs: DataFrame, touched: DataFrame) -> LineStore:
         """Take the keys among ``touched`` lines that crossed the threshold through the filters."""
         refs = stored(refs, "line-references")
-        lines = touched.select("line").distinct()
-        was = repeated(self.refs.join(lines, "line", "left_semi"), self.min_documents).select(
-            "line", F.lit(True).alias("was")
-        )
-        now = repeated(refs.join(lines, "line", "left_semi"), self.min_documents).select(
-            "line", F.lit(True).alias("now")
-        )
+        of = touched.select("line").distinct()
+        now = repeated(refs.join(of, "line", "left_semi"), self.min_documents)
+        lines = stored(self.lines.join(of, "line", "left_anti").unionByName(now), "lines")
+        was = self.lines.select("line", F.lit(True).alias("was"))
+        new = lines.select("line", F.lit(True).alias("now"))
         changes = (
-            was.join(now, "line", "full_outer")
+            was.join(new, "line", "full_outer")
             .filter("was IS NULL OR now IS NULL")
             .select("line", F.col("was").isNull().alias("added"))
         )
-        return self._with(
-            refs, stored(update_filters(self.filters, changes, self.shards), "line-filters")
-        )
+        filters = stored(update_filters(self.filters, changes, self.shards), "line-filters")
+        return self._with(refs, lines, filters)
 
     def insert(self, docs: DataFrame) -> LineStore:
         """Add documents; those already held gain the lines they did not have."""
@@ -347,6 +345,5 @@ class LineStore:
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """``docs`` (all or some of the documents held) without their repeated lines; see ``rewrite``."""
-        lines = repeated(self.refs, self.min_documents)
-        lost = drops(self.refs, lines, self.filters, self.shards)
+        lost = drops(self.refs, self.lines, self.filters, self.shards)
         return rewrite(docs, lost, self.key, self.text, self.min_chars)
