@@ -188,8 +188,8 @@ SELECT order_id, max(user_id) AS user_id, max(address_id) AS delivery_address_id
        min(created_at) AS created_at, max(paid_at) AS paid_at,
        min(delivery_started_at) AS delivery_started_at,
        max(delivered_at) AS delivered_at, max(canceled_at) AS canceled_at,
-       CAST(coalesce(max(order_discount), 0) AS DECIMAL(10,2)) AS order_discount_pct,
-       CAST(coalesce(max(delivery_cost), 0) AS DECIMAL(10,2)) AS delivery_cost,
+       CAST(max(coalesce(order_discount, 0)) AS DECIMAL(10,2)) AS order_discount_pct,
+       CAST(max(coalesce(delivery_cost, 0)) AS DECIMAL(10,2)) AS delivery_cost,
        count(canceled_at) > 0 AS is_canceled, count(delivered_at) > 0 AS is_delivered
 FROM (SELECT * FROM dim_address WHERE address_type = 'delivery') AS home
 JOIN lines ON address_text = full_address
@@ -374,8 +374,8 @@ REPORTS = {
     ),
     "dq_upsert_conflicts": _union(
         f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS key_value, "
-        f"COUNT(DISTINCT coalesce({value}, '')) AS variant_cnt FROM lines "
-        f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(DISTINCT coalesce({value}, '')) > 1"
+        f"COUNT(*) AS variant_cnt FROM (SELECT DISTINCT {key}, {value} FROM lines) AS variants "
+        f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1"
         for table, key, value in [
             ("dim_user", "user_id", "user_phone"),
             ("dim_driver", "driver_id", "driver_phone"),

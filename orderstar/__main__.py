@@ -19,12 +19,16 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
             options.add_argument("raw", help="parquet folder or glob with order lines")
         options.add_argument("warehouse", help="folder of the warehouse to write")
         if core:
-            options.add_argument("--previous", help="earlier warehouse to take users and drivers from")
+            options.add_argument("--previous", help="other warehouse a first version takes users and drivers from")
             options.add_argument("--strict", action="store_true", help="stop at a broken constraint")
+        options.add_argument("--max-shuffle-partitions", type=int, help="default: as many as the input asks for")
 
     step("load", "order lines to staging", raw=True)
     step("core", "dimensions and facts", core=True)
-    step("marts", "daily item sales and marts")
+    step("marts", "daily item sales and both marts")
+    step("orders-mart", "the mart of orders alone")
+    step("items-mart", "daily item sales and the mart of items alone")
+    step("publish", "make the version that was built the current one")
     step("refresh", "all of these", raw=True, core=True)
     return parser.parse_args(given)
 
@@ -32,15 +36,19 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 def main(given: list[str] | None = None) -> None:
     args = arguments(given)
     spark = SparkSession.builder.appName(f"orderstar-{args.step}").getOrCreate()
+    root, most = args.warehouse, args.max_shuffle_partitions
+    marts = {"marts": None, "orders-mart": [plan.ORDERS_MART], "items-mart": [plan.ITEMS_MART]}
     if args.step == "load":
-        plan.load_staging(spark, args.raw, args.warehouse)
+        plan.load_staging(spark, args.raw, root)
     elif args.step == "core":
-        built = plan.build_core(spark, args.warehouse, args.previous, args.strict)
+        built = plan.build_core(spark, root, args.previous, args.strict, most)
         plan.audit(built).show(truncate=False)
-    elif args.step == "marts":
-        plan.build_marts(spark, args.warehouse)
+    elif args.step in marts:
+        plan.build_marts(spark, root, marts[args.step], most)
+    elif args.step == "publish":
+        plan.publish(spark, root)
     else:
-        built = plan.refresh(spark, args.raw, args.warehouse, args.previous, args.strict)
+        built = plan.refresh(spark, args.raw, root, args.previous, args.strict, most)
         plan.audit(built).show(truncate=False)
 
 

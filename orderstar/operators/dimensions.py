@@ -28,7 +28,7 @@ def type1_merge(
 ) -> DataFrame:
     """Upsert: incoming rows replace existing ones with the same key, all other rows stay.
 
-    Old and new rows meet in one aggregation (one shuffle, incoming read once): the incoming flag
+    Incoming rows are made distinct, then old and new rows meet in one aggregation: the incoming flag
     decides first, then the greatest value, so NULL only wins where no incoming row has a value.
     """
     new = (

@@ -2,49 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import calendar, discounted_sum
+from ..functions.columns import calendar, discounted_sum, same
 from ..schemas import conform
-from .keys import (
-    HOT_GROUP_ROWS,
-    number_in_groups,
-    range_ranks,
-    split_hot,
-    window_ranks,
-)
+from .keys import two_way_ranks
 
 PLACE = ["city_name", "store_id"]
 
 
 def items_daily_base(
     order_items: DataFrame,
-    orders: DataFrame,
+    placed: DataFrame,
     items: DataFrame,
     categories: DataFrame,
-    addresses: DataFrame,
     cities: DataFrame,
 ) -> DataFrame:
-    """Sales per day, delivery city, store and item.
+    """Sales per day, delivery city, store and item; ``placed`` are the orders with their place.
 
     Lines are folded per (order, item) on the partitioning the order join already has; after that
     an order is one row per item and order counts are plain counts. Item, category and city names
     join the folded rows, not the lines.
     """
-    places = addresses.select(F.col("address_id").alias("delivery_address_id"), "city_id")
-    placed = (
-        orders.select(
-            "order_id",
-            "store_id",
-            "delivery_address_id",
-            F.to_date("created_at").alias("report_date"),
-        )
-        .join(places, "delivery_address_id")
-        .drop("delivery_address_id")
-    )
+    orders = placed.select("order_id", "report_date", "city_id", "store_id")
     per_order = (
-        order_items.join(placed, "order_id")
+        order_items.join(orders, "order_id")
         .groupBy("order_id", "item_id", "report_date", "city_id", "store_id")
         .agg(
             discounted_sum(F.col("ordered_quantity")).alias("gmv"),
@@ -75,65 +58,52 @@ def items_daily_base(
     )
 
 
-def _popularity(units: str, suffix: str) -> dict[str, list[Column]]:
-    """Rank names and orders; NULLs first when descending and last when ascending."""
-    item = F.asc_nulls_last("item_id")
-    return {
-        f"popularity_rank_{suffix}": [F.desc_nulls_first(units), item],
-        f"anti_popularity_rank_{suffix}": [F.asc_nulls_last(units), item],
-    }
-
+def _ranks(suffix: str) -> list[str]:
+    return [f"popularity_rank_{suffix}", f"anti_popularity_rank_{suffix}"]
 
-def _period_rank(daily: DataFrame, period: str, suffix: str, hot_group_rows: int) -> DataFrame:
-    """Sum units per period and item, then rank the items of each period and place.
 
-    Ordinary groups are shuffled once, by the ranking group: sum and ranks both work on that
-    (rows of an item are scattered over the stored files, so summing before would save little).
-    Hot groups are summed by item first and ranked in range partitions.
-    """
+def _period_rank(daily: DataFrame, period: str, suffix: str) -> DataFrame:
+    """Sum units per period and item, then rank the items of each period and place."""
     group = [period, *PLACE]
-    ranks = _popularity("units", suffix)
-
-    def totals(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*group, "item_id").agg(F.sum("ordered_units").alias("units"))
-
-    narrow = daily.select(*group, "item_id", "ordered_units")
-    ordinary, hot = split_hot(narrow, group, hot_group_rows)
-    ranked = window_ranks(totals(ordinary.repartition(*group)), group, ranks)
-    if hot is not None:
-        ranked = ranked.unionByName(number_in_groups(totals(hot), group, ranks))
-    return ranked.select(*group, "item_id", *(F.col(r).cast("bigint").alias(r) for r in ranks))
+    totals = daily.groupBy(*group, "item_id").agg(F.sum("ordered_units").alias("units"))
+    ranked = two_way_ranks(totals, group, "units", "item_id", *_ranks(suffix))
+    return ranked.select(
+        *group, "item_id", *(F.col(r).cast("bigint").alias(r) for r in _ranks(suffix))
+    )
 
 
-def items_week_rank(daily: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def items_week_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over full Monday weeks."""
-    return _period_rank(daily, "week_start", "week", hot_group_rows)
+    return _period_rank(daily, "week_start", "week")
 
 
-def items_month_rank(daily: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def items_month_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over calendar months."""
-    return _period_rank(daily, "month_start", "month", hot_group_rows)
+    return _period_rank(daily, "month_start", "month")
 
 
-def items_mart(
-    daily: DataFrame,
-    week_ranks: DataFrame,
-    month_ranks: DataFrame,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def items_mart(daily: DataFrame, week_ranks: DataFrame, month_ranks: DataFrame) -> DataFrame:
     """Daily rows with their day rank and the ranks of their week and month.
 
-    Week and month ranks are matched by plain equality: rows without a date or store get none.
+    The day rank is computed on (day, place, item, units) alone. All three ranks then meet the daily
+    rows on one partitioning, by city and item, which daily rows always have. Week and month ranks are
+    matched by plain equality: rows without a date or store get none.
     """
+    shared = ["city_name", "item_id"]
     group = ["report_date", *PLACE]
-    ranks = _popularity("ordered_units", "day")
-    ordinary, hot = split_hot(daily, group, hot_group_rows)
-    ranked = window_ranks(ordinary, group, ranks)
-    if hot is not None:
-        ranked = ranked.unionByName(
-            range_ranks(hot, group, ["ordered_units", "item_id"], ranks)
-        )
-    joined = ranked.join(week_ranks, ["week_start", *PLACE, "item_id"], "left").join(
-        month_ranks, ["month_start", *PLACE, "item_id"], "left"
+    values = [*group, "ordered_units", "item_id"]
+    day = two_way_ranks(
+        daily.select(*values).distinct(), group, "ordered_units", "item_id", *_ranks("day")
+    )
+    day = day.select(*(F.col(c).alias(f"_d_{c}") for c in values), *_ranks("day"))
+    day = day.repartition("_d_city_name", "_d_item_id")
+    rows = daily.repartition(*shared)
+    on = same(rows, day, ["report_date", "store_id", "ordered_units"], "_d_")
+    for name in shared:
+        on = on & (rows[name] == day[f"_d_{name}"])
+    ranked = rows.join(day, on, "left").select(*(rows[c] for c in daily.columns), *_ranks("day"))
+    key = [*PLACE, "item_id"]
+    joined = ranked.join(week_ranks.repartition(*shared), ["week_start", *key], "left").join(
+        month_ranks.repartition(*shared), ["month_start", *key], "left"
     )
     return conform(joined, "items_mart")

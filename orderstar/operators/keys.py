@@ -1,8 +1,8 @@
-"""Dense keys and dense ranks that never put a whole table, or a whole hot group, in one task.
+"""Dense keys and ranks that never put a whole table, or a whole group, in one task.
 
-Both rest on the same step: sort globally (range partitions), number the rows where they lie,
-checkpoint, and add to each row what the partitions before it hold. Only one row per partition is
-ever brought together.
+Both rest on the same step: sort globally (range partitions), number the rows where they lie, store
+them, and add to each row what the partitions before it hold. Only one row per partition, or per
+partition and group, is ever counted up.
 """
 
 from __future__ import annotations
@@ -16,9 +16,6 @@ from ..session import checkpointed
 # monotonically_increasing_id(): partition number above this bit, row number below.
 _ROW_BITS = 33
 
-# A group above this many rows is ranked by the range form instead of inside one task.
-HOT_GROUP_ROWS = 5_000_000
-
 
 def _placed(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Globally sorted rows with the partition and position they got, fixed by a checkpoint."""
@@ -57,65 +54,11 @@ def with_dense_key(rows: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     )
 
 
-Ranks = dict[str, list[Column]]
-
-
-def split_hot(
-    rows: DataFrame, group: list[str], hot_group_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups with more than ``hot_group_rows`` rows.
-
-    The second part is None where no group is that large, which one narrow count decides.
-    """
-    hot = (
-        rows.groupBy(*group)
-        .agg(F.count("*").alias("_size"))
-        .filter(F.col("_size") > hot_group_rows)
-    )
-    if hot.isEmpty():
-        return rows, None
-    # Each hot group holds over hot_group_rows rows, so there are few of them.
-    marks = hot.select(*(F.col(c).alias(f"_g_{c}") for c in group), F.lit(True).alias("_hot"))
-    marked = rows.join(F.broadcast(marks), same(rows, marks, group, "_g_"), "left")
-    return (
-        marked.filter(F.col("_hot").isNull()).select(*rows.columns),
-        marked.filter(F.col("_hot")).select(*rows.columns),
-    )
-
-
-def window_ranks(rows: DataFrame, group: list[str], ranks: Ranks) -> DataFrame:
-    """Add one dense rank per entry of ``ranks``; a group is ranked inside one task."""
-    return rows.select(
-        "*",
-        *(
-            F.dense_rank().over(Window.partitionBy(*group).orderBy(*order)).alias(name)
-            for name, order in ranks.items()
-        ),
-    )
-
-
-def range_ranks(rows: DataFrame, group: list[str], by: list[str], ranks: Ranks) -> DataFrame:
-    """The same ranks for groups of any size: a group is spread over range partitions.
+def _position_in_group(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
+    """Position of each row (no two tie) in its group, 1 for the first.
 
-    ``by`` names the columns the orders use. Their distinct values are ranked and matched to the
-    rows; NULLs match NULLs.
+    The join puts together what one group has in one partition, never the whole of a group.
     """
-    values = [*group, *by]
-    ranked = number_in_groups(rows.select(*values).distinct(), group, ranks)
-    ranked = ranked.select(*(F.col(c).alias(f"_p_{c}") for c in values), *ranks)
-    return rows.join(ranked, same(rows, ranked, values, "_p_")).select(*rows.columns, *ranks)
-
-
-def number_in_groups(rows: DataFrame, group: list[str], ranks: Ranks) -> DataFrame:
-    """Rank rows that do not tie: their position in the group, found in range partitions."""
-    for name, order in ranks.items():
-        rows = _position_in_group(rows, group, order, name)
-    return rows
-
-
-def _position_in_group(
-    rows: DataFrame, group: list[str], order: list[Column], name: str
-) -> DataFrame:
     placed = _placed(rows, [F.col(c) for c in group] + order)
     pieces = placed.groupBy(*group, "_part").agg(
         F.min("_row").alias("_first"), F.count("*").alias("_size")
@@ -123,13 +66,40 @@ def _position_in_group(
     earlier = (
         Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most one row per partition and per hot group, so it stays small.
     starts = pieces.select(
         *(F.col(c).alias(f"_g_{c}") for c in group),
         F.col("_part").alias("_g__part"),
         (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     on = same(placed, starts, [*group, "_part"], "_g_")
-    return placed.join(F.broadcast(starts), on).select(
+    return placed.join(starts, on).select(
         *rows.columns, (F.col("_row") + F.col("_shift") + 1).alias(name)
     )
+
+
+def two_way_ranks(
+    rows: DataFrame, group: list[str], value: str, tie: str, down: str, up: str
+) -> DataFrame:
+    """Rank rows, no two alike in (group, value, tie), from both ends of ``value``.
+
+    ``down`` starts at the largest value (NULL before all), ``up`` at the smallest (NULL last); within
+    a value both go by ``tie`` ascending, NULL last. Rows are sorted once: in the other direction the
+    runs of equal values change places and keep their inner order, so a row's second rank follows from
+    where its run begins, how long it is, and the size of the group.
+    """
+    order = [F.desc_nulls_first(value), F.asc_nulls_last(tie)]
+    ranked = _position_in_group(rows, group, order, down)
+    runs = ranked.groupBy(*group, value).agg(
+        F.min(down).alias("_start"), F.count("*").alias("_length")
+    )
+    sizes = ranked.groupBy(*group).agg(F.max(down).alias("_rows"))
+    sizes = sizes.select(*(F.col(c).alias(f"_s_{c}") for c in group), "_rows")
+    # Stored, so that the join below has a plain shuffle on both sides and AQE can split a hot run.
+    turned = checkpointed(
+        runs.join(sizes, same(runs, sizes, group, "_s_")).select(
+            *(F.col(c).alias(f"_r_{c}") for c in [*group, value]),
+            (F.col("_rows") - 2 * F.col("_start") - F.col("_length") + 2).alias("_turn"),
+        )
+    )
+    both = ranked.join(turned, same(ranked, turned, [*group, value], "_r_"))
+    return checkpointed(both.select(*rows.columns, down, (F.col(down) + F.col("_turn")).alias(up)))

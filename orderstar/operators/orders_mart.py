@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import calendar, discounted_sum, ratio
+from ..functions.columns import calendar, discounted_sum, ratio, same
 from ..schemas import conform
 
+_GROUP = ["report_date", "city_id", "store_id"]
+
+
+def placed_order(orders: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Orders with their day and delivery city: what both marts need of them, found once."""
+    places = addresses.select(F.col("address_id").alias("delivery_address_id"), "city_id")
+    joined = orders.join(places, "delivery_address_id")
+    return conform(
+        joined.select(
+            "*",
+            F.to_date("created_at").alias("report_date"),
+            F.col("delivered_at").isNotNull().alias("has_delivery_time"),
+        ),
+        "placed_order",
+    )
+
 
 def order_item_metrics(order_items: DataFrame) -> DataFrame:
     """Per order: gross value of all units, and revenue of the units not canceled."""
@@ -25,30 +41,18 @@ def order_driver_stats(assignments: DataFrame) -> DataFrame:
     )
 
 
-def _order_drivers(assignments: DataFrame) -> DataFrame:
-    """One row per order and driver, with the number of assignments it stands for.
-
-    Rows are folded per pair before they meet per order, so an order holds at most one row per
-    driver there. ``driver_no`` numbers the drivers of an order.
-    """
-    pairs = assignments.groupBy("order_id", "driver_id").agg(
-        F.count("*").cast("int").alias("assignment_cnt")
-    )
-    per_order = Window.partitionBy("order_id")
-    return pairs.select(
-        "order_id",
-        "driver_id",
-        "assignment_cnt",
-        F.row_number().over(per_order.orderBy("driver_id")).alias("driver_no"),
-        F.count("driver_id").over(per_order).alias("driver_cnt"),
+def _distinct_per_group(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Number of different values per group; both steps combine before they shuffle."""
+    counted = rows.select(*_GROUP, column).distinct().groupBy(*_GROUP).agg(
+        F.count(column).alias(name)
     )
+    return counted.select(*(F.col(c).alias(f"_{name}_{c}") for c in _GROUP), name)
 
 
 def orders_mart(
-    orders: DataFrame,
+    placed: DataFrame,
     order_items: DataFrame,
     assignments: DataFrame,
-    addresses: DataFrame,
     cities: DataFrame,
     reasons: DataFrame,
     fan_out: bool = True,
@@ -58,56 +62,52 @@ def orders_mart(
     By default amounts count once per driver assignment of the order (the model's own definition);
     ``fan_out=False`` counts them once per order.
 
-    Orders are joined to their drivers one row per (order, driver). The first of these stands for
-    the order, so order counts are plain conditional counts, amounts are multiplied by the number
-    of assignments, and the only distinct counts left are users and drivers. Grouping uses the
-    city id; names are attached to the finished groups.
+    Everything but the drivers is aggregated on one row per order: order counts are plain conditional
+    counts, amounts are multiplied by the number of assignments. Users are counted on the order grain
+    and drivers on the (order, driver) grain, as small aggregates that join the finished groups.
+    Assignments are folded per (order, driver) before they meet per order, so a hot order is no hot
+    task. Grouping uses the city id; names are attached to the finished groups.
     """
-    first = F.coalesce(F.col("driver_no"), F.lit(1)) == 1
-    if fan_out:
-        times = F.coalesce(F.col("assignment_cnt"), F.lit(1))
-    else:
-        times = F.when(first, F.lit(1))
-
-    places = addresses.select(F.col("address_id").alias("delivery_address_id"), "city_id")
+    pairs = assignments.groupBy("order_id", "driver_id").agg(F.count("*").alias("times"))
+    drivers = pairs.groupBy("order_id").agg(
+        F.sum("times").cast("int").alias("assignment_cnt"), F.count("driver_id").alias("driver_cnt")
+    )
+    times = F.coalesce(F.col("assignment_cnt"), F.lit(1)) if fan_out else F.lit(1)
     faults = reasons.filter("is_service_fault").select(
         "cancellation_reason_id", F.lit(True).alias("service_fault")
     )
     rows = (
-        orders.select(
-            "order_id",
-            "user_id",
-            "store_id",
-            "delivery_address_id",
-            "cancellation_reason_id",
-            F.to_date("created_at").alias("report_date"),
-            "delivery_cost",
-            "is_canceled",
-            "is_delivered",
-            F.col("delivered_at").isNotNull().alias("has_delivery_time"),
-        )
-        .join(places, "delivery_address_id")
-        .join(faults, "cancellation_reason_id", "left")
+        placed.join(faults, "cancellation_reason_id", "left")
         .join(order_item_metrics(order_items), "order_id", "left")
-        .join(_order_drivers(assignments), "order_id", "left")
+        .join(drivers, "order_id", "left")
     )
-    canceled = first & F.col("is_canceled")
-    totals = rows.groupBy("report_date", "city_id", "store_id").agg(
+    canceled = F.col("is_canceled")
+    totals = rows.groupBy(*_GROUP).agg(
         F.coalesce(F.sum(F.col("gmv") * times), F.lit(0)).alias("gmv"),
         F.coalesce(F.sum(F.col("revenue") * times), F.lit(0)).alias("revenue"),
         F.coalesce(F.sum(F.col("delivery_cost") * times), F.lit(0)).alias("cost"),
-        F.count_if(first).alias("created_orders_cnt"),
-        F.count_if(first & F.col("is_delivered")).alias("delivered_orders_cnt"),
+        F.count("*").alias("created_orders_cnt"),
+        F.count_if("is_delivered").alias("delivered_orders_cnt"),
         F.count_if(canceled).alias("canceled_orders_cnt"),
         F.count_if(canceled & F.col("has_delivery_time")).alias("canceled_after_delivery_cnt"),
         F.count_if(canceled & F.col("service_fault")).alias("canceled_service_fault_cnt"),
-        F.count_if(first & (F.col("driver_cnt") > 1)).alias("courier_change_orders_cnt"),
-        F.count_distinct("user_id").alias("customers_cnt"),
-        F.count_distinct("driver_id").alias("active_drivers_cnt"),
+        F.count_if(F.col("driver_cnt") > 1).alias("courier_change_orders_cnt"),
+    )
+    place = placed.select("order_id", *_GROUP)
+    customers = _distinct_per_group(placed, "user_id", "customers_cnt")
+    active = _distinct_per_group(
+        pairs.select("order_id", "driver_id").join(place, "order_id"), "driver_id", "active_drivers_cnt"
+    )
+    counted = totals.join(customers, same(totals, customers, _GROUP, "_customers_cnt_"), "left")
+    counted = counted.join(active, same(totals, active, _GROUP, "_active_drivers_cnt_"), "left")
+    counted = counted.select(
+        *totals.columns,
+        F.coalesce("customers_cnt", F.lit(0)).alias("customers_cnt"),
+        F.coalesce("active_drivers_cnt", F.lit(0)).alias("active_drivers_cnt"),
     )
-    named = totals.join(cities, "city_id").select(
+    named = counted.join(cities, "city_id").select(
         *calendar("report_date"),
-        *(c for c in totals.columns if c not in ("report_date", "city_id")),
+        *(c for c in counted.columns if c not in ("report_date", "city_id")),
         "city_name",
         (F.col("revenue") - F.col("cost")).alias("profit"),
         ratio(F.col("revenue"), F.col("delivered_orders_cnt")).alias("avg_check"),

@@ -25,6 +25,11 @@ def _assign(value: Column, name: str, given: T.DataType, wanted: str) -> Column:
             value = F.round(value, 0)
         elif isinstance(given, T.FractionalType):
             value = F.rint(value)
+    if isinstance(given, (T.FloatType, T.DoubleType)) and wanted.startswith("decimal"):
+        # A cast to decimal would turn these into NULL without a word.
+        infinite = F.abs(value) == F.lit(float("inf")).cast(given)
+        failed = F.raise_error(F.lit(f"column {name}: a value is not a finite number"))
+        value = F.when(F.isnan(value) | infinite, failed.cast(given)).otherwise(value)
     return value.cast(wanted)
 
 

@@ -15,7 +15,7 @@ from ..operators import dimensions, quality
 from ..operators.items_mart import items_month_rank, items_week_rank
 from ..operators.orders_mart import order_driver_stats, order_item_metrics
 from ..operators.staging import stage
-from ..session import shared_folder, tune
+from ..session import tune, work_folder
 from ..sources import samples
 from ..sources.files import Warehouse, read_order_lines
 from .refresh import BUILD, STAGED, audit
@@ -26,11 +26,9 @@ class Layers:
 
     def __init__(self, spark: SparkSession, folder: str, dirty: bool = False):
         self.spark, self.folder, self.dirty = spark, folder, dirty
-        run = spark.sparkContext.applicationId
         given = hashlib.sha1(folder.encode()).hexdigest()[:12]
         variant = "dirty" if dirty else "clean"
-        root = f"{shared_folder(spark)}/orderstar/{run}/{given}-{variant}"
-        self.store = Warehouse(spark, root)
+        self.store = Warehouse(spark, f"{work_folder(spark)}/{given}-{variant}", 1)
         self.built: set[str] = set()
 
     def raw_path(self) -> str:
@@ -91,7 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_delivery_raw": _table(STAGED),
     "dim_user_upsert": _table("dim_user"),
     "dim_driver_upsert": _table("dim_driver"),
-    **{name: _table(name) for name in BUILD},
+    **{name: _table(name) for name in BUILD if name != "placed_order"},
     "fact_row_counts": _clean(audit),
     "order_item_metrics": _clean(lambda t: order_item_metrics(t["fact_order_item"])),
     "order_driver_stats": _clean(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dimensions, facts, quality
@@ -14,10 +15,10 @@ from ..operators.items_mart import (
     items_month_rank,
     items_week_rank,
 )
-from ..operators.orders_mart import orders_mart
+from ..operators.orders_mart import orders_mart, placed_order
 from ..operators.staging import stage
-from ..schemas import FACTS
-from ..session import size_shuffles, tune
+from ..schemas import FACTS, TABLES
+from ..session import scratch, shuffle_partitions, tuned
 from ..sources.files import Warehouse, read_order_lines
 
 STAGED = "delivery_raw"
@@ -36,20 +37,19 @@ BUILD = {
     ),
     "fact_order_item": lambda t: facts.fact_order_item(t[STAGED]),
     "fact_order_driver_assignment": lambda t: facts.fact_order_driver_assignment(t[STAGED]),
+    "placed_order": lambda t: placed_order(t["fact_order"], t["dim_address"]),
     "orders_mart": lambda t: orders_mart(
-        t["fact_order"],
+        t["placed_order"],
         t["fact_order_item"],
         t["fact_order_driver_assignment"],
-        t["dim_address"],
         t["dim_city"],
         t["dim_cancellation_reason"],
     ),
     "items_daily_base": lambda t: items_daily_base(
         t["fact_order_item"],
-        t["fact_order"],
+        t["placed_order"],
         t["dim_item"],
         t["dim_category"],
-        t["dim_address"],
         t["dim_city"],
     ),
     "items_mart": lambda t: items_mart(
@@ -74,7 +74,8 @@ CORE_STEPS = [
     ],
     [["fact_order"]],
 ]
-MART_STEPS = [[["orders_mart"], ["items_daily_base", "items_mart"]]]
+ORDERS_MART = ["orders_mart"]
+ITEMS_MART = ["items_daily_base", "items_mart"]
 
 
 class ConstraintViolation(ValueError):
@@ -82,13 +83,18 @@ class ConstraintViolation(ValueError):
 
 
 def _require_none(report: DataFrame, what: str) -> None:
-    examples = report.limit(10).collect()
-    if examples:
-        shown = "; ".join(str(tuple(row)) for row in examples)
-        raise ConstraintViolation(f"{what}: {shown}")
-
-
-def _write_steps(steps: list[list[list[str]]], write: Callable[[str], None]) -> None:
+    """Stop at the first report with rows, naming their number and some of them."""
+    total = report.count()
+    if total:
+        shown = "; ".join(str(tuple(row)) for row in report.limit(10).collect())
+        raise ConstraintViolation(f"{what} ({total} in all): {shown}")
+
+
+def _write_steps(
+    spark: SparkSession, steps: list[list[list[str]]], write: Callable[[str], None]
+) -> None:
+    # Job group, scheduler pool and cancellation of the caller hold for the writes too.
+    @inheritable_thread_target(spark)
     def write_chain(chain: list[str]) -> None:
         for table in chain:
             write(table)
@@ -98,32 +104,34 @@ def _write_steps(steps: list[list[list[str]]], write: Callable[[str], None]) ->
             list(pool.map(write_chain, step))
 
 
-def _earlier(target: Warehouse, previous: str | None) -> Warehouse | None:
-    earlier = Warehouse(target.spark, previous) if previous else None
-    if earlier and earlier.root == target.root:
-        raise ValueError("previous must be another folder than the one being written")
-    return earlier
-
-
 def load_staging(spark: SparkSession, raw_path: str, root: str) -> Warehouse:
-    """Replace the staging table by the order lines found at ``raw_path``."""
-    target = Warehouse(tune(spark), root)
-    target.write(STAGED, stage(read_order_lines(spark, raw_path)))
+    """Begin a new version of the warehouse with the order lines found at ``raw_path``."""
+    with tuned(spark):
+        rows = stage(read_order_lines(spark, raw_path))
+        target = Warehouse.begin(spark, root)
+        target.write(STAGED, rows)
     return target
 
 
 def build_core(
-    spark: SparkSession, root: str, previous: str | None = None, strict: bool = False
+    spark: SparkSession,
+    root: str,
+    previous: str | None = None,
+    strict: bool = False,
+    max_shuffle_partitions: int | None = None,
 ) -> Warehouse:
-    """Build dimensions and facts from the staging table."""
-    target = Warehouse(spark, root)
-    earlier = _earlier(target, previous)
-    tune(spark)
-    size_shuffles(spark, target.path(STAGED))
-    staged = target[STAGED]
-    if strict:
-        _require_none(quality.upsert_conflicts(staged), "conflicting rows for one id")
+    """Build dimensions and facts of the version begun last.
 
+    Users and drivers are merged into those of the last complete version, or, where the warehouse has
+    none, of the warehouse ``previous``.
+    """
+    target = Warehouse.begun(spark, root)
+    earlier = Warehouse.current(spark, root)
+    if earlier is None and previous:
+        earlier = Warehouse.current(spark, previous)
+        if earlier is None:
+            raise ValueError(f"{previous} has no complete version")
+    staged = target[STAGED]
     merges = {"dim_user": dimensions.dim_user, "dim_driver": dimensions.dim_driver}
 
     def write(table: str) -> None:
@@ -133,22 +141,40 @@ def build_core(
             rows = BUILD[table](target)
         target.write(table, rows)
 
-    _write_steps(CORE_STEPS, write)
-    if strict:
-        _require_none(quality.pk_duplicates(target), "duplicate keys")
-        nulls = quality.null_violations(target)
-        _require_none(nulls.filter("null_rows > 0"), "NULL in a NOT NULL column")
-        orphans = quality.fk_orphans(target)
-        _require_none(orphans.filter("orphan_rows > 0"), "rows without a parent")
+    with tuned(spark, shuffle_partitions(staged, max_shuffle_partitions)), scratch(spark):
+        if strict:
+            _require_none(quality.upsert_conflicts(staged), "conflicting rows for one id")
+        _write_steps(spark, CORE_STEPS, write)
+        if strict:
+            _require_none(quality.pk_duplicates(target), "duplicate keys")
+            nulls = quality.null_violations(target)
+            _require_none(nulls.filter("null_rows > 0"), "NULL in a NOT NULL column")
+            orphans = quality.fk_orphans(target)
+            _require_none(orphans.filter("orphan_rows > 0"), "rows without a parent")
+    return target
+
+
+def build_marts(
+    spark: SparkSession,
+    root: str,
+    marts: list[list[str]] | None = None,
+    max_shuffle_partitions: int | None = None,
+) -> Warehouse:
+    """Build the daily item sales and both marts, or the given ones, of the version begun last."""
+    target = Warehouse.begun(spark, root)
+    lines = target["fact_order_item"]
+    steps = [[["placed_order"]], marts or [ORDERS_MART, ITEMS_MART]]
+    with tuned(spark, shuffle_partitions(lines, max_shuffle_partitions)), scratch(spark):
+        _write_steps(spark, steps, lambda table: target.write(table, BUILD[table](target)))
     return target
 
 
-def build_marts(spark: SparkSession, root: str) -> Warehouse:
-    """Build the daily item sales and both marts from the core tables."""
-    target = Warehouse(spark, root)
-    tune(spark)
-    size_shuffles(spark, target.path("fact_order_item"))
-    _write_steps(MART_STEPS, lambda table: target.write(table, BUILD[table](target)))
+def publish(spark: SparkSession, root: str) -> Warehouse:
+    """Make the version begun last the one readers see; all its tables have to be there."""
+    target = Warehouse.begun(spark, root)
+    for table in TABLES:
+        target[table].limit(0).collect()
+    target.finish()
     return target
 
 
@@ -158,17 +184,20 @@ def refresh(
     root: str,
     previous: str | None = None,
     strict: bool = False,
+    max_shuffle_partitions: int | None = None,
 ) -> Warehouse:
-    """Build a whole warehouse folder from raw order lines.
+    """Build a new version of a warehouse from raw order lines and make it the current one.
 
-    ``previous`` names an earlier warehouse whose users and drivers are carried over; it must be
-    another folder, so a failed run never harms it and can simply be repeated. With ``strict``
-    the first broken constraint ends the run before any mart is written.
+    All tables are rebuilt from this batch; users and drivers of the last complete version are carried
+    over (``previous`` names another warehouse to begin with). Until the last step readers see the
+    version before, and after a failure they still do; the refresh is then simply repeated. With
+    ``strict`` the first broken constraint ends the run before any mart is written. The session's
+    settings are the same afterwards and nothing stays in the working folder.
     """
-    _earlier(Warehouse(spark, root), previous)
     load_staging(spark, raw_path, root)
-    build_core(spark, root, previous, strict)
-    return build_marts(spark, root)
+    build_core(spark, root, previous, strict, max_shuffle_partitions)
+    build_marts(spark, root, max_shuffle_partitions=max_shuffle_partitions)
+    return publish(spark, root)
 
 
 def audit(tables: Warehouse) -> DataFrame:

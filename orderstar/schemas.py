@@ -94,6 +94,19 @@ FACTS = {
     },
 }
 
+PLACED_ORDER = {
+    "order_id": "bigint",
+    "user_id": "bigint",
+    "report_date": "date",
+    "city_id": "bigint",
+    "store_id": "bigint",
+    "cancellation_reason_id": "bigint",
+    "delivery_cost": "decimal(10,2)",
+    "is_canceled": "boolean",
+    "is_delivered": "boolean",
+    "has_delivery_time": "boolean",
+}
+
 ITEMS_DAILY_BASE = {
     "report_date": "date",
     "year_num": "int",
@@ -164,6 +177,7 @@ TABLES = {
     "delivery_raw": DELIVERY_RAW,
     **DIMENSIONS,
     **FACTS,
+    "placed_order": PLACED_ORDER,
     "items_daily_base": ITEMS_DAILY_BASE,
     **MARTS,
 }

@@ -1,47 +1,70 @@
-"""Session settings and the shared working folder."""
+"""Session settings, shuffle sizes and the shared working folder."""
 
 from __future__ import annotations
 
 import math
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SHUFFLE_INPUT_BYTES = 128 * 1024 * 1024
-# More reducers would cut a very large shuffle into blocks too small to fetch well; beyond this,
-# partitions grow and spill instead.
-MAX_SHUFFLE_PARTITIONS = 20_000
+
+# ANSI mode (the default) makes a value that does not fit its column an error instead of NULL.
+# Results do not depend on the others. ``forceOptimizeSkewedJoin`` lets AQE split a hot join key even
+# when the aggregate above the join has to be shuffled again because of it. Without
+# ``requireAllClusterKeysForCoPartition`` joins whose keys contain the columns both sides are already
+# partitioned by need no further shuffle.
+SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings the plans are designed for.
+    """Set what the plans are designed for, for as long as the session lasts.
 
-    ANSI mode (the default) makes a value that does not fit its column an error instead of NULL.
-    Results do not depend on the others: ``forceOptimizeSkewedJoin`` lets AQE split a hot join key even when the aggregate above the
-    join has to be shuffled again because of it; without a hot key nothing changes.
+    For callers that run the returned frames themselves; a refresh uses ``tuned`` instead.
     """
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 
-def size_shuffles(spark: SparkSession, path: str) -> int:
-    """Set the initial number of shuffle partitions from the size of a stored table.
+@contextmanager
+def tuned(spark: SparkSession, shuffle_partitions: int | None = None) -> Iterator[SparkSession]:
+    """The same settings, and a number of initial shuffle partitions, until the block ends."""
+    wanted = dict(SETTINGS)
+    if shuffle_partitions is not None:
+        wanted[_INITIAL_PARTITIONS] = str(shuffle_partitions)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield spark
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
 
-    AQE merges partitions that turn out small but cannot split an aggregation, so the start value
-    has to grow with the input. It never goes below the session's own setting.
+def shuffle_partitions(rows: DataFrame, at_most: int | None = None) -> int:
+    """How many shuffle partitions to begin with for ``rows`` (the columns that will be shuffled).
+
+    AQE merges partitions that turn out small but cannot split an aggregation, so the number grows
+    with the input: one per ``SHUFFLE_INPUT_BYTES`` of the size Spark's statistics give, which needs
+    no job. It never goes below the session's own setting; ``at_most`` bounds it (default: no bound).
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    stored = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    wanted = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        min(MAX_SHUFFLE_PARTITIONS, math.ceil(stored / SHUFFLE_INPUT_BYTES)),
-    )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    stored = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = math.ceil(stored / SHUFFLE_INPUT_BYTES)
+    if at_most is not None:
+        wanted = min(wanted, at_most)
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -60,7 +83,39 @@ def shared_folder(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+def work_folder(spark: SparkSession) -> str:
+    """Folder of this application inside the shared one."""
+    return f"{shared_folder(spark)}/orderstar/{spark.sparkContext.applicationId}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; nothing happens if there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Everything checkpointed inside the block is deleted at its end, also when it fails."""
+    path = f"{work_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    try:
+        yield path
+    finally:
+        _scratch.remove(path)
+        remove_folder(spark, path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute once into the shared folder; the result survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute once into the shared folder; the result survives the loss of executors.
+
+    Outside ``scratch`` the rows stay until ``work_folder`` is deleted.
+    """
+    spark = df.sparkSession
+    folder = _scratch[-1] if _scratch else f"{work_folder(spark)}/scratch"
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

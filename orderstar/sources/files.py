@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import DIMENSIONS, FACTS, MARTS, TABLES, conform, ddl
 
 LAYERS = {
     "delivery_raw": "staging",
     **dict.fromkeys([*DIMENSIONS, *FACTS], "core"),
+    "placed_order": "work",
     "items_daily_base": "work",
     **dict.fromkeys(MARTS, "mart"),
 }
 
+_LOG = "version bigint, complete boolean"
+
 
 def read_order_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw order lines from a parquet folder, file or glob; fails if there is none.
@@ -23,14 +28,63 @@ def read_order_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Warehouse:
-    """Parquet tables under one folder: ``<root>/<layer>/<table>``."""
+    """Parquet tables of one version: ``<root>/v<version>/<layer>/<table>``.
+
+    A refresh fills a version of its own, so tables of different batches never mix. Which versions
+    were begun and which are complete is kept in ``<root>/log``, a table that is only appended to;
+    readers take the last complete version, and a version without its entry does not exist for them.
+    One refresh per root runs at a time.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, version: int):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.version = version
+
+    @classmethod
+    def _versions(cls, spark: SparkSession, root: str) -> tuple[int, int]:
+        """The last version begun and the last complete one, 0 where there is none."""
+        try:
+            log = spark.read.schema(_LOG).parquet(f"{root.rstrip('/')}/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, 0
+        done = F.max(F.when(F.col("complete"), F.col("version")))
+        begun, complete = log.agg(F.max("version"), done).first()
+        return begun or 0, complete or 0
+
+    @classmethod
+    def current(cls, spark: SparkSession, root: str) -> Warehouse | None:
+        """The last complete version."""
+        version = cls._versions(spark, root)[1]
+        return cls(spark, root, version) if version else None
+
+    @classmethod
+    def begin(cls, spark: SparkSession, root: str) -> Warehouse:
+        """A new, empty version."""
+        new = cls(spark, root, cls._versions(spark, root)[0] + 1)
+        new._note(False)
+        return new
+
+    @classmethod
+    def begun(cls, spark: SparkSession, root: str) -> Warehouse:
+        """The version begun last, which must not be complete yet."""
+        begun, complete = cls._versions(spark, root)
+        if begun <= complete:
+            raise ValueError(f"no version of {root} is being built: load order lines first")
+        return cls(spark, root, begun)
+
+    def finish(self) -> None:
+        """Make this the version readers see."""
+        self._note(True)
+
+    def _note(self, complete: bool) -> None:
+        entry = self.spark.createDataFrame([(self.version, complete)], _LOG)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{LAYERS[table]}/{table}"
+        return f"{self.root}/v{self.version:06d}/{LAYERS[table]}/{table}"
 
     def __getitem__(self, table: str) -> DataFrame:
         stored = self.spark.read.schema(ddl(table)).parquet(self.path(table))
@@ -40,8 +94,14 @@ class Warehouse:
         """Replace a table. Marts are laid out by report date, in balanced files per date."""
         rows = conform(rows, table)
         if table in MARTS:
-            # AQE splits a large date over several files and joins small ones.
-            balanced = rows.hint("rebalance", "report_date")
-            balanced.write.mode("overwrite").partitionBy("report_date").parquet(self.path(table))
+            # AQE splits a large date over several files and joins small ones. A session that
+            # overwrites partitions one by one would leave the dates of an earlier write.
+            (
+                rows.hint("rebalance", "report_date")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy("report_date")
+                .parquet(self.path(table))
+            )
         else:
             rows.write.mode("overwrite").parquet(self.path(table))

@@ -1,9 +1,11 @@
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderstar.operators.keys import range_ranks, split_hot, window_ranks, with_dense_key
+from orderstar.operators import keys
+from orderstar.operators.keys import two_way_ranks, with_dense_key
 
 
 def test_dense_key_is_the_position_in_byte_order(spark):
@@ -32,46 +34,54 @@ def test_dense_key_of_nothing(spark):
     assert keyed.columns == ["key", "name"] and keyed.isEmpty()
 
 
-def _rank_orders():
-    return {
+def _random_rows(count, seed=2):
+    """One group holds nearly all rows; few values, so runs are long; NULLs in every column."""
+    rng = random.Random(seed)
+    rows = set()
+    for i in range(count):
+        hot = i % 10 > 0
+        place = "hot" if hot else rng.choice(["a", "b", None])
+        store = 1 if hot else rng.choice([1, 2, None])
+        rows.add((place, store, rng.choice([None, *range(6)]), rng.choice([None, i])))
+    return list(rows)
+
+
+def test_ranks_from_both_ends_are_those_of_windows(spark):
+    schema = "place string, store bigint, units bigint, item bigint"
+    frame = spark.createDataFrame(_random_rows(3000), schema).repartition(5)
+    group = ["place", "store"]
+    wanted = frame
+    for name, order in {
         "down": [F.desc_nulls_first("units"), F.asc_nulls_last("item")],
         "up": [F.asc_nulls_last("units"), F.asc_nulls_last("item")],
-    }
-
-
-def test_hot_groups_rank_like_a_window(spark):
-    """One group holds a third of the rows; ties, repeated rows and NULL groups included."""
-    rng = random.Random(2)
-    rows = []
-    for i in range(3000):
-        place = "hot" if i % 3 == 0 else rng.choice(["a", "b", "c", None])
-        store = 1 if place == "hot" else rng.choice([1, 2, None])
-        units = rng.choice([None, *range(6)])
-        rows.append((place, store, units, rng.randrange(400), i))
-    frame = spark.createDataFrame(
-        rows, "place string, store bigint, units bigint, item bigint, id int"
-    ).repartition(5)
-    group, by = ["place", "store"], ["units", "item"]
-    orders = _rank_orders()
-    ordinary, hot = split_hot(frame, group, 300)
-    assert hot.count() >= 1000 and ordinary.count() + hot.count() == 3000
-    got = window_ranks(ordinary, group, orders).unionByName(range_ranks(hot, group, by, orders))
-    wanted = frame
-    for name, order in orders.items():
+    }.items():
         wanted = wanted.withColumn(
             name, F.dense_rank().over(Window.partitionBy(*group).orderBy(*order))
         )
+    got = two_way_ranks(frame, group, "units", "item", "down", "up")
 
     def content(df):
         return sorted(tuple(str(v) for v in r) for r in df.select(wanted.columns).collect())
 
     assert content(got) == content(wanted)
-    assert got.count() == 3000
 
 
-def test_without_a_hot_group_nothing_is_split(spark):
-    frame = spark.range(100).select(F.lit("g").alias("place"), "id")
-    ordinary, hot = split_hot(frame, ["place"], 100)
-    assert ordinary is frame and hot is None
-    ordinary, hot = split_hot(frame, ["place"], 99)
-    assert ordinary.isEmpty() and hot.count() == 100
+def test_a_group_of_nearly_all_rows_is_in_no_single_task(spark):
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, "false")
+    try:
+        frame = spark.range(20_000).select(F.lit("g").alias("place"), (F.col("id") % 7).alias("u"), "id")
+        placed = keys._placed(frame, [F.col("place"), F.desc("u"), F.col("id")])
+        assert max(r["count"] for r in placed.groupBy("_part").count().collect()) < 8_000
+        ranked = keys._position_in_group(frame, ["place"], [F.desc("u"), F.col("id")], "rank")
+        # What joins per group also joins per partition.
+        plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"Join Inner, .*_part#\d+.* <=> _g__part", plan)
+        assert ranked.agg(F.max("rank")).first()[0] == 20_000
+    finally:
+        spark.conf.unset(off)
+
+
+def test_ranks_of_nothing(spark):
+    frame = spark.createDataFrame([], "place string, units bigint, item bigint")
+    assert two_way_ranks(frame, ["place"], "units", "item", "down", "up").isEmpty()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from orderstar.functions.columns import ratio
 from orderstar.operators import items_mart as im
-from orderstar.operators.orders_mart import orders_mart
+from orderstar.operators.orders_mart import orders_mart, placed_order
 
-from .helpers import spark_content, table
+from .helpers import table
 
 
 def dims_of(spark):
@@ -59,10 +59,9 @@ def line(order_id, quantity, price, pct=0, canceled=0, item=1):
 def mart(spark, orders, lines=(), assignments=(), **options):
     d = dims_of(spark)
     built = orders_mart(
-        table(spark, "fact_order", *orders),
+        placed_order(table(spark, "fact_order", *orders), d["addresses"]),
         table(spark, "fact_order_item", *lines),
         table(spark, "fact_order_driver_assignment", *assignments),
-        d["addresses"],
         d["cities"],
         d["reasons"],
         **options,
@@ -156,10 +155,9 @@ def daily_of(spark, orders, lines, items):
     categories = table(spark, "dim_category", {"category_id": 1, "category_name": "food"})
     return im.items_daily_base(
         table(spark, "fact_order_item", *lines),
-        table(spark, "fact_order", *orders),
+        placed_order(table(spark, "fact_order", *orders), d["addresses"]),
         table(spark, "dim_item", *items),
         categories,
-        d["addresses"],
         d["cities"],
     )
 
@@ -234,17 +232,3 @@ def test_rows_without_store_or_date_have_only_a_day_rank(spark):
 def test_orders_without_items_are_only_in_the_orders_mart(spark):
     assert len(mart(spark, [order(1)])) == 1
     assert daily_of(spark, [order(1)], [], ITEMS).isEmpty()
-
-
-def test_forced_range_ranking_gives_the_same_mart(spark, sf_dir):
-    from orderstar.plans.catalog import layers
-
-    daily = layers(spark, sf_dir)["items_daily_base"]
-    usual = im.items_mart(daily, im.items_week_rank(daily), im.items_month_rank(daily))
-    ranged = im.items_mart(
-        daily,
-        im.items_week_rank(daily, hot_group_rows=50),
-        im.items_month_rank(daily, hot_group_rows=100),
-        hot_group_rows=10,
-    )
-    assert spark_content(ranged) == spark_content(usual)

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from oracle import TABLES, statement
+from oracle import REPORTS, TABLES, statement
 from orderstar.operators.items_mart import items_month_rank, items_week_rank
 from orderstar.operators.orders_mart import order_driver_stats, order_item_metrics
+from orderstar.operators.quality import upsert_conflicts
 from orderstar.plans.refresh import refresh
 
 from .helpers import duck_content, spark_content, table
@@ -30,8 +31,9 @@ COMPARED = [
 DERIVED = {
     "order_item_metrics": lambda w: order_item_metrics(w["fact_order_item"]),
     "order_driver_stats": lambda w: order_driver_stats(w["fact_order_driver_assignment"]),
-    "items_week_rank": lambda w: items_week_rank(w["items_daily_base"], hot_group_rows=3),
-    "items_month_rank": lambda w: items_month_rank(w["items_daily_base"], hot_group_rows=3),
+    "items_week_rank": lambda w: items_week_rank(w["items_daily_base"]),
+    "items_month_rank": lambda w: items_month_rank(w["items_daily_base"]),
+    "dq_upsert_conflicts": lambda w: upsert_conflicts(w["delivery_raw"]),
 }
 
 
@@ -52,7 +54,7 @@ def random_lines(seed, count=400):
         yield {
             "order_id": 1 if hot else maybe(rng.randint(1, 60)),
             "user_id": maybe(rng.randint(1, 12)),
-            "user_phone": maybe(str(rng.randint(1, 3))),
+            "user_phone": maybe(rng.choice(["", "1", "2"]), 0.3),
             "driver_id": maybe(rng.randint(1, 6), 0.3),
             "driver_phone": maybe("d"),
             "address_text": "Riga, hot" if hot else maybe(f"{rng.choice(towns)}, {rng.randint(1, 5)}"),
@@ -67,8 +69,8 @@ def random_lines(seed, count=400):
             "delivery_started_at": moment(),
             "delivered_at": maybe(moment(), 0.7),
             "canceled_at": maybe(moment(), 0.7),
-            "order_discount": maybe(rng.randint(0, 30)),
-            "delivery_cost": maybe(f"{rng.randint(0, 9999) / 100:.2f}"),
+            "order_discount": maybe(rng.randint(-5, 30)),
+            "delivery_cost": maybe(f"{rng.randint(-999, 9999) / 100:.2f}"),
             "item_id": 1 if hot else maybe(rng.randint(1, 9)),
             "item_title": maybe(rng.choice("ab")),
             "item_category": maybe(rng.choice("xyz")),
@@ -90,7 +92,7 @@ def test_refresh_equals_sql_on_random_lines(spark, duck, tmp_path, seed):
     frames = {name: built[name] for name in COMPARED}
     frames |= {name: query(built) for name, query in DERIVED.items()}
     for name, frame in frames.items():
-        wanted = duck_content(duck, statement(TABLES[name], lines))
+        wanted = duck_content(duck, statement((TABLES | REPORTS)[name], lines))
         assert spark_content(frame) == wanted, name
         assert wanted, name
 

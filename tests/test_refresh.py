@@ -1,11 +1,23 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderstar.__main__ import main
 from orderstar.plans.catalog import layers
-from orderstar.plans.refresh import ConstraintViolation, audit, refresh
+from orderstar.plans.refresh import (
+    ITEMS_MART,
+    ORDERS_MART,
+    ConstraintViolation,
+    audit,
+    build_core,
+    build_marts,
+    load_staging,
+    publish,
+    refresh,
+)
 from orderstar.schemas import DIMENSIONS, FACTS, MARTS, TABLES
+from orderstar.session import work_folder
 from orderstar.sources.files import Warehouse
 
 from .helpers import spark_content, table
@@ -52,33 +64,106 @@ def test_surrogate_keys_run_from_one(built):
 
 
 def test_repeating_a_refresh_changes_nothing(spark, raw, built, tmp_path):
-    again = refresh(spark, raw, str(tmp_path / "again"), previous=built.root)
-    refresh(spark, raw, str(tmp_path / "again"), previous=built.root)
+    root = str(tmp_path / "again")
+    first = refresh(spark, raw, root, previous=built.root)
+    again = refresh(spark, raw, root)
+    assert (first.version, again.version) == (1, 2)
     for name in ALL:
         assert spark_content(again[name]) == spark_content(built[name]), name
 
 
-def test_users_and_drivers_accumulate_and_the_rest_is_replaced(spark, built, tmp_path):
-    raw = str(tmp_path / "raw")
-    line = {
-        "order_id": 1,
-        "user_id": 10**9,
-        "user_phone": "new",
-        "address_text": "Riga, 1",
-        "created_at": "2024-05-01 00:00:00",
-    }
-    table(spark, "delivery_raw", line).write.parquet(raw)
-    later = refresh(spark, raw, str(tmp_path / "later"), previous=built.root)
-    assert later["dim_user"].count() == built["dim_user"].count() + 1
-    assert later["dim_driver"].count() == built["dim_driver"].count()
+NEW_LINE = {
+    "order_id": 1,
+    "user_id": 10**9,
+    "user_phone": "new",
+    "driver_id": 10**9,
+    "address_text": "Riga, 1",
+    "created_at": "2025-05-01 00:00:00",
+}
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """Folders with one order line each, of two dates."""
+    for name, line in {"a": dirty_line(created_at="2024-01-01 00:00:00"), "b": NEW_LINE}.items():
+        table(spark, "delivery_raw", line).write.parquet(str(tmp_path / name))
+    return str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "warehouse")
+
+
+def test_users_and_drivers_accumulate_and_the_rest_is_replaced(spark, small):
+    """In a session that overwrites partitions one by one, too."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        first, second, root = small
+        refresh(spark, first, root)
+        later = refresh(spark, second, root)
+    finally:
+        spark.conf.unset(mode)
+    assert {r.user_id for r in later["dim_user"].collect()} == {1, 10**9}
+    assert {r.driver_id for r in later["dim_driver"].collect()} == {1, 10**9}
     assert later["fact_order"].count() == 1 and later["items_mart"].isEmpty()
-    assert [r.city_name for r in later["dim_city"].collect()] == ["Riga"]
-
-
-def test_the_previous_warehouse_is_never_the_target(spark, raw, tmp_path):
-    with pytest.raises(ValueError, match="another folder"):
-        refresh(spark, raw, str(tmp_path), previous=f"{tmp_path}/")
-    assert not list(tmp_path.iterdir())
+    assert [str(r.report_date) for r in later["orders_mart"].collect()] == ["2025-05-01"]
+    assert Warehouse.current(spark, root).version == later.version == 2
+
+
+def test_overwriting_a_mart_leaves_no_earlier_date(spark, small):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    first, _, root = small
+    built = refresh(spark, first, root)
+    mart = built["orders_mart"].cache()
+    mart.count()
+    spark.conf.set(mode, "dynamic")
+    try:
+        built.write("orders_mart", mart.withColumn("report_date", F.lit("2026-01-01").cast("date")))
+    finally:
+        spark.conf.unset(mode)
+    assert [str(r.report_date) for r in built["orders_mart"].collect()] == ["2026-01-01"]
+
+
+def test_after_a_failure_readers_see_the_version_before(spark, small, tmp_path):
+    first, second, root = small
+    kept = refresh(spark, first, root)
+    before = {name: spark_content(kept[name]) for name in ALL}
+    broken = str(tmp_path / "broken")
+    table(spark, "delivery_raw", dirty_line(), dirty_line(user_phone="b")).write.parquet(broken)
+    with pytest.raises(ConstraintViolation):
+        refresh(spark, broken, root, strict=True)
+    seen = Warehouse.current(spark, root)
+    assert seen.version == 1
+    assert {name: spark_content(seen[name]) for name in ALL} == before
+    later = refresh(spark, second, root)
+    assert later.version == 3 and later["dim_user"].count() == 2
+
+
+def test_a_version_is_complete_or_not_there(spark, small):
+    first, _, root = small
+    assert Warehouse.current(spark, root) is None
+    with pytest.raises(ValueError, match="load order lines first"):
+        build_core(spark, root)
+    load_staging(spark, first, root)
+    build_core(spark, root)
+    assert Warehouse.current(spark, root) is None
+    build_marts(spark, root, [ORDERS_MART])
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        publish(spark, root)
+    build_marts(spark, root, [ITEMS_MART])
+    assert publish(spark, root).version == Warehouse.current(spark, root).version == 1
+    with pytest.raises(ValueError, match="load order lines first"):
+        build_marts(spark, root)
+    with pytest.raises(ValueError, match="no complete version"):
+        load_staging(spark, first, f"{root}-other")
+        build_core(spark, f"{root}-other", previous=f"{root}-absent")
+
+
+def test_a_refresh_leaves_settings_and_working_folder_as_they_were(spark, small):
+    def state():
+        settings = {r.key: r.value for r in spark.sql("SET").collect()}
+        return settings, sorted(p.name for p in Path(work_folder(spark)).glob("scratch-*"))
+
+    before = state()
+    refresh(spark, small[0], small[2], max_shuffle_partitions=50)
+    assert state() == before
 
 
 def test_marts_are_laid_out_by_date(built):
@@ -109,7 +194,7 @@ def dirty_line(**more):
 @pytest.mark.parametrize(
     ("second", "message"),
     [
-        ({"user_phone": "b"}, "conflicting rows.*dim_user"),
+        ({"user_phone": "b"}, r"conflicting rows.*\(1 in all\).*dim_user"),
         ({"store_address": "S, Riga, 2"}, "duplicate keys.*dim_store"),
         ({"item_title": "u"}, "duplicate keys.*dim_item"),
         ({"item_id": 2, "item_title": None}, "NULL in a NOT NULL column.*item_title"),
@@ -124,7 +209,8 @@ def test_strict_refresh_stops_at_a_broken_constraint(spark, tmp_path, second, me
     target = str(tmp_path / "strict")
     with pytest.raises(ConstraintViolation, match=message):
         refresh(spark, raw, target, strict=True)
-    assert not (Path(target) / "mart").exists()
+    assert not (Path(target) / "v000001" / "mart").exists()
+    assert Warehouse.current(spark, target) is None
 
 
 def test_without_strict_broken_constraints_still_give_marts(spark, tmp_path):
@@ -147,8 +233,10 @@ def test_steps_give_the_same_as_a_refresh(spark, raw, built, tmp_path, capsys):
     root = str(tmp_path / "steps")
     main(["load", raw, root])
     main(["core", root, "--strict"])
-    main(["marts", root])
+    main(["orders-mart", root, "--max-shuffle-partitions", "20"])
+    main(["items-mart", root])
+    main(["publish", root])
     assert "fact_order_driver_assignment" in capsys.readouterr().out
-    stepwise = Warehouse(spark, root)
+    stepwise = Warehouse.current(spark, root)
     for name in ALL:
         assert spark_content(stepwise[name]) == spark_content(built[name]), name

@@ -1,6 +1,8 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderstar import session
 
@@ -19,22 +21,39 @@ def test_a_cluster_has_to_name_a_folder():
         session.shared_folder(cluster)
 
 
-def test_shuffles_grow_with_the_stored_bytes(spark, sf_dir, monkeypatch):
-    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(setting, None)
+def test_shuffles_grow_with_the_bytes_of_the_columns(spark, sf_dir, monkeypatch):
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert session.size_shuffles(spark, f"{sf_dir}/nation.parquet") == own
-        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 100)
-        wanted = session.size_shuffles(spark, f"{sf_dir}/nation.parquet")
-        assert wanted > own and spark.conf.get(setting) == str(wanted)
-        monkeypatch.setattr(session, "MAX_SHUFFLE_PARTITIONS", own + 1)
-        assert session.size_shuffles(spark, f"{sf_dir}/nation.parquet") == own + 1
-    finally:
-        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
-
-
-def test_checkpointed_rows_read_from_the_shared_folder(spark):
-    frame = session.checkpointed(spark.range(10).repartition(3))
-    assert frame.count() == 10
-    assert frame.rdd.isCheckpointed() or "ExistingRDD" in frame._jdf.queryExecution().toString()
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    assert session.shuffle_partitions(lines) == own
+    monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 1000)
+    wanted = session.shuffle_partitions(lines)
+    assert wanted > 10 * own
+    assert own < session.shuffle_partitions(lines.select("l_orderkey")) < wanted
+    assert session.shuffle_partitions(lines, at_most=own + 1) == own + 1
+
+
+def test_settings_end_with_the_block(spark):
+    names = [*session.SETTINGS, session._INITIAL_PARTITIONS]
+    before = {n: spark.conf.get(n, None) for n in names}
+    with pytest.raises(ZeroDivisionError), session.tuned(spark, 77):
+        assert spark.conf.get(session._INITIAL_PARTITIONS) == "77"
+        assert all(spark.conf.get(n) == v for n, v in session.SETTINGS.items())
+        raise ZeroDivisionError
+    assert {n: spark.conf.get(n, None) for n in names} == before
+
+
+def test_checkpointed_rows_are_stored(spark):
+    frame = session.checkpointed(spark.range(10).repartition(3).withColumn("x", F.rand()))
+    assert frame.collect() == frame.collect() and frame.count() == 10
+    assert "FileScan parquet" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scratch_leaves_nothing_also_after_a_failure(spark):
+    with session.scratch(spark) as folder:
+        session.checkpointed(spark.range(3))
+        assert any(Path(folder).iterdir())
+    assert not Path(folder).exists()
+    with pytest.raises(ZeroDivisionError), session.scratch(spark) as folder:
+        session.checkpointed(spark.range(3))
+        raise ZeroDivisionError
+    assert not Path(folder).exists()

@@ -54,6 +54,16 @@ def test_number_out_of_range_is_an_error(spark):
         stage(raw).collect()
 
 
+@pytest.mark.parametrize("kind", ["double", "float"])
+@pytest.mark.parametrize("value", ["NaN", "Infinity", "-Infinity"])
+@pytest.mark.parametrize("name", ["order_discount", "delivery_cost", "item_price", "item_discount"])
+def test_money_that_is_no_number_is_an_error(spark, name, value, kind):
+    raw = spark.sql(f"SELECT {kind}('{value}') AS {name}")
+    with pytest.raises(Exception, match=f"column {name}: a value is not a finite number"):
+        stage(raw).collect()
+    assert stage(spark.sql(f"SELECT {kind}(NULL) AS {name}")).first()[name] is None
+
+
 def test_times_lose_no_precision(spark):
     moment = dt.datetime(2024, 3, 1, 23, 59, 59, 123456)
     raw = spark.createDataFrame([(moment, dt.date(2024, 3, 2))], "created_at timestamp_ntz, paid_at date")
