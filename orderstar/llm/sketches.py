@@ -8,14 +8,18 @@ short to have any hash below the threshold.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower
 
 SHINGLE = 5
-FRACTION_BITS = 3  # hashes below 2**-3 of the range are kept
+FRACTION_BITS = 2  # hashes below a quarter of the range are kept
 BUCKET_ROWS = 5_000  # neighbours are looked for inside buckets of about so many rows
+MAX_BUCKETS = 100_000  # what the driver holds of them; beyond it buckets grow, and their windows spill
 
 
 def words(text: Column) -> Column:
@@ -88,7 +92,7 @@ def with_next(
     place = F.col("_key").cast("double")
     rows = docs.withColumn("_key", docs[key])
     count = docs.count()
-    parts = max(1, -(-count // bucket_rows))
+    parts = min(MAX_BUCKETS, max(1, -(-count // bucket_rows)))
     cuts = []
     if parts > 1:
         at = [i / parts for i in range(1, parts)]
@@ -96,8 +100,7 @@ def with_next(
             F.percentile_approx(place, at, max(10_000, 10 * parts)).alias("cuts")
         ).first()["cuts"]
         cuts = sorted(set(found or []))  # one number per bucket
-    bucket = _bucket(place, cuts)
-    rows = rows.withColumn("_bucket", bucket)
+    rows = _bucketed(rows.withColumn("_place", place), cuts)
     heads = rows.groupBy("_bucket").agg(F.max("_key").alias("_head")).collect()  # one row per bucket
     if not heads:
         visits = [(0, None, 0)]
@@ -122,16 +125,19 @@ def with_next(
     return sent, Window.partitionBy("_bucket")
 
 
-def _bucket(place: Column, cuts: list[float]) -> Column:
-    """Bucket 0 holds the largest keys; NULLs are in the last one. A balanced tree of comparisons."""
-
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(len(cuts) - low)
-        middle = (low + high) // 2
-        return F.when(place <= cuts[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
-
-    return F.when(place.isNull(), F.lit(len(cuts) + 1)).otherwise(tree(0, len(cuts)))
+def _bucketed(rows: DataFrame, cuts: list[float]) -> DataFrame:
+    """Add ``_bucket`` from ``_place``: bucket 0 holds the largest keys, the last one the NULLs."""
+    splits = [-math.inf, *(cuts or [0.0]), math.inf]  # two buckets at least
+    cuts = splits[1:-1]
+    found = Bucketizer(
+        splits=splits, inputCol="_place", outputCol="_from_below"
+    ).setHandleInvalid("keep")
+    above = F.lit(len(cuts)) - F.col("_from_below").cast("int")
+    last = F.lit(len(cuts) + 1)
+    placed = found.transform(rows).withColumn(
+        "_bucket", F.when(F.col("_place").isNull(), last).otherwise(above)
+    )
+    return placed.drop("_place", "_from_below")
 
 
 def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
