@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import work_folder
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -18,9 +18,12 @@ def ascii_lower(text: Column) -> Column:
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: lineage ends here, executors may go."""
+    """Write rows to the shared folder and read them back: lineage ends here, executors may go.
+
+    The files stay until ``session.work_folder`` is deleted.
+    """
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
