@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, stored
 
 WINDOW = 10
 #: Larger window sets are joined without a hint, by shuffling the places of all words.
@@ -105,7 +105,7 @@ def findings(
 ) -> DataFrame:
     """Per contaminated text: (digest, n_hit, items, spans); spans are [start, end) in words, merged."""
     found = windows(benchmark, item, item_text, size)
-    occurring = hits(docs, found, text)
+    occurring = stored(hits(docs, found, text), "benchmark-hits")
     before = Window.partitionBy("digest").orderBy("at", "size").rowsBetween(
         Window.unboundedPreceding, -1
     )
