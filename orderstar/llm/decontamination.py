@@ -131,7 +131,10 @@ def findings(
         .groupBy("digest")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
-    return covered.join(named, "digest").select("digest", "n_hit", "items", "spans")
+    result = covered.join(named, "digest").select("digest", "n_hit", "items", "spans")
+    # Stored, so that joins with the documents have a plain shuffle on both sides: copies of one text
+    # can then be split.
+    return stored(result, "benchmark-findings")
 
 
 def _joined(docs: DataFrame, result: DataFrame, text: str, how: str) -> DataFrame:
