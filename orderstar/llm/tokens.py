@@ -137,7 +137,8 @@ _LONG_RUN = re.compile(r"\s{5000}|[^\W\d_]{20000}|\d{20000}|[^\s\w]{20000}")
 
 def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFrame:
     """Two kinds of rows per block: documents with the frequencies of their pre-tokens, given by their
-    code in the block, and the block's distinct pre-tokens in runs, ``first`` being a run's first code.
+    code in the block (packed, see ``_packed``), and the block's distinct pre-tokens in runs, ``first``
+    being a run's first code.
     """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
@@ -146,8 +147,7 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
             T.StructField("block", T.LongType()),
             T.StructField("id", rows.schema["id"].dataType),
             T.StructField("n_bytes", T.LongType()),
-            T.StructField("codes", T.ArrayType(T.IntegerType())),
-            T.StructField("times", T.ArrayType(T.IntegerType())),
+            T.StructField("frequencies", T.BinaryType()),
             T.StructField("first", T.IntegerType()),
             T.StructField("pretokens", T.ArrayType(T.StringType())),
         ]
@@ -165,8 +165,7 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
                     pa.array([block] * n, pa.int64()),
                     pa.nulls(n, id_type),
                     pa.nulls(n, pa.int64()),
-                    pa.nulls(n, pa.list_(pa.int32())),
-                    pa.nulls(n, pa.list_(pa.int32())),
+                    pa.nulls(n, pa.binary()),
                     pa.array(firsts, pa.int32()),
                     pa.array([listed[i : i + RUN] for i in firsts], pa.list_(pa.string())),
                 ],
@@ -174,14 +173,13 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
             )
 
         for batch in batches:
-            id_type, blocks, codes, times, full = batch.column(0).type, [], [], [], []
+            id_type, blocks, packed, full = batch.column(0).type, [], [], []
             lengths = batch.column(1).to_pylist()
             for length, value in zip(lengths, batch.column(2)):
                 found = [place.setdefault(p, len(place)) for p in encoder.pretokens(value.as_py())]
                 code, often = np.unique(np.array(found, dtype=np.int32), return_counts=True)
                 blocks.append(block)
-                codes.append(code)
-                times.append(often.astype(np.int32))
+                packed.append(_packed(code, often))
                 size += length
                 if len(place) >= BLOCK_PRETOKENS or size >= BLOCK_BYTES:
                     full.append(vocabulary())
@@ -191,8 +189,7 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
                     pa.array(blocks, pa.int64()),
                     batch.column(0),
                     batch.column(1),
-                    pa.array(codes, pa.list_(pa.int32())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(packed, pa.binary()),
                     pa.nulls(len(blocks), pa.int32()),
                     pa.nulls(len(blocks), pa.list_(pa.string())),
                 ],
@@ -205,18 +202,52 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
     return rows.mapInArrow(run, schema)
 
 
-def piece_counts(pretokens: DataFrame, tokenizer: str) -> DataFrame:
-    """(pretoken, pieces) of distinct pre-tokens."""
+def _packed(codes: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted codes as steps, and how often each occurs, byte by byte so that they compress well.
+
+    Pre-tokens a block has not seen before get the next codes, so most steps are 1.
+    """
+    import zstandard
+
+    steps = np.diff(codes, prepend=0)
+    both = np.concatenate((steps, times)).astype("<u4")
+    return zstandard.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(raw), dtype=np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    half = len(both) // 2
+    return np.cumsum(both[:half], dtype=np.int64), both[half:].astype(np.int64)
+
+
+def _piece_counts(listed: DataFrame, tokenizer: str) -> DataFrame:
+    """(of, code and pieces in one number) of every listed pre-token.
+
+    All rows of a pre-token lie side by side in one partition, so it is encoded once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
+        last, pieces = None, 0
         for batch in batches:
-            pieces = encoder.counts(batch.column(0).to_pylist())
+            runs = pa.compute.run_end_encode(batch.column(0))
+            ends, values = runs.run_ends.to_numpy(), runs.values.to_pylist()
+            again = values[:1] == [last]  # the last pre-token may go on in the next batch
+            counts = [pieces] if again else []
+            counts = np.array(counts + encoder.counts(values[again:]), dtype=np.int64)
+            if values:
+                last, pieces = values[-1], counts[-1]
+            per_row = np.repeat(counts, np.diff(ends, prepend=0))
+            codes = batch.column(2).to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pieces, pa.int64())], names=["pretoken", "pieces"]
+                [batch.column(1), pa.array((codes << 32) | per_row)], names=["of", "counted"]
             )
 
-    return pretokens.mapInArrow(run, "pretoken string, pieces long")
+    dealt = listed.repartition("pretoken").sortWithinPartitions("pretoken")
+    return dealt.select("pretoken", "block", "code").mapInArrow(run, "of long, counted long")
 
 
 def count_tokens(
@@ -230,11 +261,8 @@ def count_tokens(
     listed = rows.filter("first IS NOT NULL").select(
         "block", "first", F.posexplode("pretokens").alias("at", "pretoken")
     ).select("block", (F.col("first") + F.col("at")).alias("code"), "pretoken")
-    pieces = piece_counts(listed.select("pretoken").distinct(), tokenizer)
-    known = listed.join(pieces, "pretoken").select(
-        F.col("block").alias("of"), "code", "pieces"
-    )
-    texts = rows.filter("first IS NULL").select("block", "id", "n_bytes", "codes", "times")
+    known = _piece_counts(listed, tokenizer)
+    texts = rows.filter("first IS NULL").select("block", "id", "n_bytes", "frequencies")
     schema = T.StructType(
         [
             T.StructField(key, rows.schema["id"].dataType),
@@ -245,15 +273,14 @@ def count_tokens(
 
     def total(block: pa.Table, vocabulary: pa.Table) -> pa.Table:
         """Documents of a block; what is together here is bounded by the size of a block."""
-        code = vocabulary["code"].to_numpy()
-        pieces = np.zeros(len(code), dtype=np.int64)
-        pieces[code] = vocabulary["pieces"].to_numpy()
-        codes = block["codes"].combine_chunks()
-        ends = np.cumsum(pa.compute.list_value_length(codes).to_numpy(zero_copy_only=False))
-        times = block["times"].combine_chunks().flatten().to_numpy()
-        sums = np.concatenate(([0], np.cumsum(pieces[codes.flatten().to_numpy()] * times)))
-        tokens = sums[ends] - sums[np.concatenate(([0], ends[:-1]))]
-        return pa.table([block["id"], block["n_bytes"], pa.array(tokens)], names=schema.names)
+        counted = vocabulary["counted"].to_numpy()
+        pieces = np.zeros(len(counted), dtype=np.int64)
+        pieces[counted >> 32] = counted & 0xFFFFFFFF
+        tokens = []
+        for raw in block["frequencies"]:
+            codes, times = _unpacked(raw.as_py())
+            tokens.append(int(pieces[codes] @ times))
+        return pa.table([block["id"], block["n_bytes"], pa.array(tokens, pa.int64())], names=schema.names)
 
     return (
         texts.groupBy("block")
