@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import stored
-from .tokens import Encoder
+from .tokens import encoder
 
 LENGTH = 2048
 END = 1
@@ -87,14 +87,14 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        width = encoder.id_type
-        bucket, vectors = _projection(encoder.size)
+        coder = encoder(tokenizer)
+        width = coder.id_type
+        bucket, vectors = _projection(coder.size)
         for batch in batches:
             points = np.zeros((batch.num_rows, DIMENSIONS), dtype=np.uint64)
             sizes, packed = [], []
             for i, value in enumerate(batch.column(1)):
-                ids = np.array([*encoder.ids(value.as_py() or ""), END], dtype=width)
+                ids = np.array([*coder.ids(value.as_py() or ""), END], dtype=width)
                 points[i] = point(ids, bucket, vectors)
                 sizes.append(len(ids))
                 packed.append(ids.tobytes())
@@ -147,7 +147,7 @@ def pack(
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = Encoder.type_for(tokenizer)
+        width = encoder(tokenizer).id_type
         sequence, filled = TaskContext.get().partitionId() << _LOCAL_BITS, 0
         for batch in batches:
             rows, pieces, ids_out = [], [], []

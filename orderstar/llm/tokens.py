@@ -11,8 +11,10 @@ pre-token of a block, not one per word.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,79 +36,74 @@ _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _UNUSUAL = re.compile("[\u0558-\u200f\u2060-\U0010ffff]")
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """One encoder per Python worker, for all the tasks it runs."""
+    return Encoder(path)
+
+
 class Encoder:
     """A ``tokenizers`` file, with short cuts that give the same ids and pre-tokens.
 
-    Special strings inside texts become their special id, as the library does by default.
+    Special strings inside texts become their special id, as the library does by default. What a use
+    does not need (the library, the faster encoder) is not loaded.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import regex
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.id_type = self._type(self.size)
-        added = [token["content"] for token in described["added_tokens"]]
-        plain = all(
-            not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"])
-            for t in described["added_tokens"]
-        )
-        self.special = re.compile(
-            "(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")"
-        ) if added else None
+        tokens = described["added_tokens"]
+        self.size = 1 + max([t["id"] for t in tokens] + [len(described["model"]["vocab"]) - 1])
+        self.id_type = "<u2" if self.size <= 1 << 16 else "<u4"
+        added = sorted((t["content"] for t in tokens), key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         before = described["pre_tokenizer"] or {}
         self.byte_level = (
-            plain
+            not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens)
             and described["normalizer"] is None
             and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
         )
-        self._fast = self._merges(described) if self.byte_level else None
-        if self.byte_level:
-            import regex
-
-            self._split = regex.compile(_SPLIT).findall
+        self._split = regex.compile(_SPLIT).findall
 
-    @staticmethod
-    def _type(size: int) -> str:
-        return "<u2" if size <= 1 << 16 else "<u4"
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
 
-    @classmethod
-    def type_for(cls, path: str) -> str:
-        """Width of stored ids, without loading the whole tokenizer."""
-        with open(path, encoding="utf-8") as file:
-            described = json.load(file)
-        highest = max([t["id"] for t in described["added_tokens"]] + [len(described["model"]["vocab"]) - 1])
-        return cls._type(highest + 1)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        loaded = Tokenizer.from_file(self.path)
+        loaded.no_truncation()
+        loaded.no_padding()
+        return loaded
 
-    def _merges(self, described: dict):
+    @cached_property
+    def _fast(self):
         """The same vocabulary as byte ranks, for a faster encoder; None if it isn't one by rank."""
+        if not self.byte_level:
+            return None
         import tiktoken
 
+        with open(self.path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
         hidden = [b for b in range(256) if b not in shown]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        ranks = {
-            bytes(byte[c] for c in piece): number
-            for piece, number in described["model"]["vocab"].items()
-        }
-        merges = described["model"]["merges"]
-        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in merges]
-        numbers = [described["model"]["vocab"].get(a + b, -1) for a, b in pairs]
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        numbers = [model["vocab"].get(a + b, -1) for a, b in pairs]
         if numbers != sorted(set(numbers)) or -1 in numbers:
             return None
+        ranks = {bytes(byte[c] for c in piece): number for piece, number in model["vocab"].items()}
         return tiktoken.Encoding(
             "ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
 
     def ids(self, text: str) -> list[int]:
-        usual = self._fast and not (self.special and self.special.search(text))
-        if usual and not _LONG_RUN.search(text):
+        plain = not (self.special and self.special.search(text)) and not _LONG_RUN.search(text)
+        if plain and self._fast:
             return self._fast(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
@@ -154,7 +151,7 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        coder = encoder(tokenizer)
         block, place, size = TaskContext.get().partitionId() << 33, {}, 0
 
         def vocabulary():
@@ -176,7 +173,7 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
             id_type, blocks, packed, full = batch.column(0).type, [], [], []
             lengths = batch.column(1).to_pylist()
             for length, value in zip(lengths, batch.column(2)):
-                found = [place.setdefault(p, len(place)) for p in encoder.pretokens(value.as_py())]
+                found = [place.setdefault(p, len(place)) for p in coder.pretokens(value.as_py())]
                 code, often = np.unique(np.array(found, dtype=np.int32), return_counts=True)
                 blocks.append(block)
                 packed.append(_packed(code, often))
@@ -230,14 +227,14 @@ def _piece_counts(listed: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        coder = encoder(tokenizer)
         last, pieces = None, 0
         for batch in batches:
             runs = pa.compute.run_end_encode(batch.column(0))
             ends, values = runs.run_ends.to_numpy(), runs.values.to_pylist()
             again = values[:1] == [last]  # the last pre-token may go on in the next batch
             counts = [pieces] if again else []
-            counts = np.array(counts + encoder.counts(values[again:]), dtype=np.int64)
+            counts = np.array(counts + coder.counts(values[again:]), dtype=np.int64)
             if values:
                 last, pieces = values[-1], counts[-1]
             per_row = np.repeat(counts, np.diff(ends, prepend=0))
