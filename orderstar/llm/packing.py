@@ -94,7 +94,7 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
             points = np.zeros((batch.num_rows, DIMENSIONS), dtype=np.uint64)
             sizes, packed = [], []
             for i, value in enumerate(batch.column(1)):
-                ids = np.array([*coder.ids(value.as_py() or ""), END], dtype=width)
+                ids = np.append(coder.ids(value.as_py() or ""), np.array([END], dtype=width))
                 points[i] = point(ids, bucket, vectors)
                 sizes.append(len(ids))
                 packed.append(ids.tobytes())
@@ -118,6 +118,7 @@ def pack(
     text: str = "text",
     length: int = LENGTH,
     with_ids: bool = True,
+    partition_tokens: int | None = None,
 ) -> DataFrame:
     """One row per piece of a document, in sequences of ``length`` ids.
 
@@ -126,10 +127,11 @@ def pack(
     ``with_ids`` the ids (array of int). Every id, the closing ``END`` included, lies in exactly one
     piece; all sequences but the last of a partition are full. Rows that tie on the curve are ordered
     by key; repeated rows are packed each on their own. An empty table has no pieces.
+    ``partition_tokens`` (default ``PARTITION_TOKENS``) is how many ids a sorted partition aims at.
     """
     tokens = stored(tokenized(docs, tokenizer, key, text), "tokens")
     total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(1, -(-total // PARTITION_TOKENS))
+    parts = max(1, -(-total // (partition_tokens or PARTITION_TOKENS)))
     # The random last column lets copies with one place and one key lie in several partitions.
     order = ["place", "id", "tie"]
     ordered = (

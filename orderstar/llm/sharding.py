@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import with_dense_key
 
-VIRTUAL_NODES = 128
+VIRTUAL_NODES = 512  # per shard
 LAW = "rows"
 
 

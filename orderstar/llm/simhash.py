@@ -15,6 +15,7 @@ star contractions over these links in Spark.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ from ..session import checkpointed
 from .common import stored
 
 BITS = 64
+TEXT_BYTES = 4 << 20  # of a long text that are split into words at a time
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 NODE_ROWS = 50_000  # keys above this are split by further masks
 LEAF = 16
 FRONTIER = 1 << 17  # node pairs looked at together
@@ -48,22 +51,35 @@ def _votes(hashes: np.ndarray) -> np.ndarray:
     return counts.reshape(64)
 
 
+def _word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, some ``TEXT_BYTES`` at a time."""
+    start = 0
+    while start < len(text):
+        space = _SPACE.search(text, start + TEXT_BYTES)
+        end = space.start() if space else len(text)
+        yield text[start:end].lower().split()
+        start = end
+
+
 def fingerprint_of(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     """SimHash of a text's word shingles, as an unsigned number; 0 without words."""
     from xxhash import xxh64_intdigest as xxh64
 
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxh64(b" ".join(words), seed)
-    columns = [words[i:] for i in range(shingle)]
-    hashes = np.fromiter(
-        (xxh64(b" ".join(run), seed) for run in zip(*columns)),
-        dtype="<u8",
-        count=len(words) - shingle + 1,
-    )
-    bits = _votes(hashes) * 2 > len(hashes)
+    votes, total, words = np.zeros(BITS, dtype=np.int64), 0, []
+    for more in _word_lists(text or b""):
+        words = words[len(words) - shingle + 1 :] + more if len(words) >= shingle else words + more
+        if len(words) < shingle:
+            continue
+        hashes = np.fromiter(
+            (xxh64(b" ".join(run), seed) for run in zip(*(words[i:] for i in range(shingle)))),
+            dtype="<u8",
+            count=len(words) - shingle + 1,
+        )
+        votes += _votes(hashes)
+        total += len(hashes)
+    if not total:
+        return xxh64(b" ".join(words), seed) if words else 0
+    bits = votes * 2 > total
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 

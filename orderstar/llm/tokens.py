@@ -68,6 +68,7 @@ class Encoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
         )
+        self._may_cut = self.byte_level and not any(" " in content for content in added)
         self._split = regex.compile(_SPLIT).findall
 
     @cached_property
@@ -101,7 +102,26 @@ class Encoder:
             "ranks", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
 
-    def ids(self, text: str) -> list[int]:
+    def segments(self, text: str) -> Iterator[str]:
+        """A long text in parts that are encoded independently of each other.
+
+        Before a single space between other characters and a letter the split pattern always cuts.
+        """
+        start = 0
+        while self._may_cut and len(text) - start > TEXT_CHARS:
+            cut = _SAFE_CUT.search(text, start + TEXT_CHARS)
+            if not cut:
+                break
+            yield text[start : cut.start()]
+            start = cut.start()
+        yield text[start:]
+
+    def ids(self, text: str) -> np.ndarray:
+        """All ids of the text, in the narrowest type that holds the vocabulary."""
+        parts = [np.array(self._ids(part), dtype=self.id_type) for part in self.segments(text)]
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def _ids(self, text: str) -> list[int]:
         plain = not (self.special and self.special.search(text)) and not _LONG_RUN.search(text)
         if plain and self._fast:
             return self._fast(text)
@@ -128,6 +148,8 @@ class Encoder:
         return [len(one.ids) for one in encoded]
 
 
+TEXT_CHARS = 4 << 20  # of a long text that are encoded at a time
+_SAFE_CUT = re.compile(r"(?<=\S) (?=[A-Za-z])")
 # Runs the fast encoder may take very long or much stack for.
 _LONG_RUN = re.compile(r"\s{5000}|[^\W\d_]{20000}|\d{20000}|[^\s\w]{20000}")
 
@@ -173,8 +195,11 @@ def _frequencies(docs: DataFrame, tokenizer: str, key: str, text: str) -> DataFr
             id_type, blocks, packed, full = batch.column(0).type, [], [], []
             lengths = batch.column(1).to_pylist()
             for length, value in zip(lengths, batch.column(2)):
-                found = [place.setdefault(p, len(place)) for p in coder.pretokens(value.as_py())]
-                code, often = np.unique(np.array(found, dtype=np.int32), return_counts=True)
+                found = [
+                    np.array([place.setdefault(p, len(place)) for p in coder.pretokens(part)], np.int32)
+                    for part in coder.segments(value.as_py())
+                ]
+                code, often = np.unique(np.concatenate(found), return_counts=True)
                 blocks.append(block)
                 packed.append(_packed(code, often))
                 size += length

@@ -35,6 +35,16 @@ def test_fingerprint_is_the_majority_of_the_shingle_hashes():
     assert simhash.fingerprint_of(None) == 0
 
 
+def test_long_texts_are_split_in_parts(monkeypatch):
+    monkeypatch.setattr(simhash, "TEXT_BYTES", 7)
+    draw = random.Random(2)
+    for n in range(60):
+        text = draw.choice(["", " ", "\n\n"]) + "".join(
+            draw.choice(["a", "bb", "a-very-long-word"]) + draw.choice([" ", "  \t ", "\n"]) for _ in range(n)
+        )
+        assert simhash.fingerprint_of(text.encode()) == brute.simhash(text)
+
+
 def test_gray_rank_inverts_the_gray_code():
     numbers = np.arange(5000, dtype=np.uint64) * np.uint64(3689348814741910323)
     assert (simhash.gray_rank(numbers ^ (numbers >> np.uint64(1))) == numbers).all()

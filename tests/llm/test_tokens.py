@@ -30,15 +30,25 @@ def odd_texts():
 def test_ids_and_pretokens_are_the_librarys(library, encoder):
     for text in odd_texts():
         wanted = library.encode(text, add_special_tokens=False).ids
-        assert encoder.ids(text) == wanted, text
+        assert encoder.ids(text).tolist() == wanted, text
         assert sum(encoder.counts(encoder.pretokens(text))) == len(wanted), text
         assert "".join(encoder.pretokens(text)) == text
 
 
+def test_long_texts_are_encoded_in_parts(library, encoder, texts, monkeypatch):
+    monkeypatch.setattr(tokens, "TEXT_CHARS", 25)
+    for text in [*(t for _, t in texts[:60]), *odd_texts()[:1500], " a b  c\n d .e 1f " * 20]:
+        parts = list(encoder.segments(text))
+        assert "".join(parts) == text
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert encoder.ids(text).tolist() == wanted, text
+        assert sum(sum(encoder.counts(encoder.pretokens(p))) for p in parts) == len(wanted)
+
+
 @pytest.mark.parametrize("text", ["a" * 100_000, " " * 100_000, "1" * 50_000, "\n" * 60_000 + "x", "." * 50_000])
 def test_long_runs(library, encoder, text):
     wanted = library.encode(text, add_special_tokens=False).ids
-    assert encoder.ids(text) == wanted
+    assert encoder.ids(text).tolist() == wanted
     assert sum(encoder.counts(encoder.pretokens(text))) == len(wanted)
 
 
