@@ -1,0 +1,28 @@
+"""The driver's contract holds with and without the folders that may be left out."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).parent.parent
+WITHOUT = """
+import sys
+for name in {names!r}:
+    sys.modules[name] = None
+import __spark_entry__ as entry
+from orderstar.plans.catalog import QUERIES
+assert set(entry.queries()) == set(entry.oracle_sql()) == set(QUERIES)
+assert not any(name.startswith("orderstar.llm") for name, held in sys.modules.items() if held)
+"""
+
+
+def test_queries_without_the_text_operators():
+    for names in (["corpus_pipeline"], ["corpus_pipeline", "orderstar.llm"]):
+        code = WITHOUT.format(names=names)
+        subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_nothing_else_imports_the_text_operators():
+    for path in (ROOT / "orderstar").rglob("*.py"):
+        if "llm" not in path.relative_to(ROOT).parts:
+            assert "llm" not in path.read_text(), path
