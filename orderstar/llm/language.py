@@ -47,14 +47,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     labelled = docs.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("lang IS NOT NULL AND length(trim(text)) > 0")
-    names = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    sizes = (
+        labelled.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
+    )
+    # Only keys are ranked, and of a large language only about twice as many as are wanted.
+    place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
     order = Window.partitionBy("lang").orderBy("hash", "key")
-    # Only keys are ranked; Spark keeps the first rows per task before it shuffles.
     chosen = (
         labelled.select("lang", "key", F.xxhash64("key").alias("hash"))
+        .join(F.broadcast(sizes), "lang")  # MAX_LANGUAGES rows
+        .filter(place * F.col("size") < 2 * SAMPLE_ROWS)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SAMPLE_ROWS)
-        .join(names.select("lang"), "lang")
         .select("lang", F.col("key").alias("chosen"))
         .distinct()
     )
