@@ -38,9 +38,8 @@ def _places(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """One row per window of each size: the columns of ``rows``, size, at (from 0) and hash."""
     count = F.size("words")
     # Outer, as an inner explode makes Spark split the text a second time to test for emptiness.
-    for_size = rows.withColumn("size", F.explode(F.array(*map(F.lit, sizes)))) if len(
-        sizes
-    ) > 1 else rows.withColumn("size", F.lit(sizes[0]))
+    every = F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(sizes[0])
+    for_size = rows.withColumn("size", every)
     starts = F.when(count >= F.col("size"), F.sequence(F.lit(0), count - F.col("size")))
     placed = for_size.withColumn("at", F.explode_outer(starts))
     value = _hash(F.col("at"), sizes[0])
@@ -49,8 +48,8 @@ def _places(rows: DataFrame, sizes: list[int]) -> DataFrame:
     return placed.withColumn("hash", value)
 
 
-def _spelled() -> Column:
-    return F.array_join(F.slice("words", F.col("at") + 1, F.col("size")), " ")
+def _spelled(size: str = "size") -> Column:
+    return F.array_join(F.slice("words", F.col("at") + 1, F.col(size)), " ")
 
 
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
@@ -74,10 +73,7 @@ def hits(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
         F.collect_set("size").alias("sizes"),  # at most WINDOW values
         F.coalesce(F.sum(F.length("spelled") + 24), F.lit(0)).alias("bytes"),
     ).first()
-    if not shape["sizes"]:
-        sizes = [WINDOW]
-    else:
-        sizes = sorted(shape["sizes"], reverse=True)
+    sizes = sorted(shape["sizes"], reverse=True) or [WINDOW]
     if shape["bytes"] <= BROADCAST_BYTES:
         sets = F.broadcast(sets)
     rows = docs.select(text_digest(docs[text]).alias("digest"), words(docs[text]).alias("words"))
@@ -88,7 +84,7 @@ def hits(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
             sets.alias("w"),
             (F.col("p.hash") == F.col("w.hash"))
             & (F.col("p.size") == F.col("w.size"))
-            & (F.array_join(F.slice("words", F.col("at") + 1, F.col("p.size")), " ") == F.col("spelled")),
+            & (_spelled("p.size") == F.col("spelled")),
         )
         .select("digest", "at", F.col("p.size").alias("size"), "spelled")
         .distinct()
@@ -142,7 +138,9 @@ def _joined(docs: DataFrame, result: DataFrame, text: str, how: str) -> DataFram
     return docs.join(own, text_digest(docs[text]) == own["_digest"], how)
 
 
-def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def report(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
     """(key, n_words, n_hit, items, contaminated) of every row, repeated rows included.
 
     Texts that are NULL or have no word are clean; an empty benchmark leaves all clean. ``items`` are

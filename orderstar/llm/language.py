@@ -37,7 +37,9 @@ class LanguageModel:
     dictionaries: dict[str, bytes]
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
+def fit(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> LanguageModel:
     """Fill dictionaries from labelled rows.
 
     The sample is bounded: per language the ``SAMPLE_ROWS`` rows with the smallest hash of their key,
@@ -47,17 +49,17 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     labelled = docs.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("lang IS NOT NULL AND length(trim(text)) > 0")
-    sizes = (
-        labelled.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
-    )
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
+    sizes = sizes.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
     # Only keys are ranked, and of a large language only about twice as many as are wanted.
     place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
-    order = Window.partitionBy("lang").orderBy("hash", "key")
+    order = Window.partitionBy("lang").orderBy("hash", "key", "text")
+    narrow = Window.partitionBy("lang").orderBy("hash", "key")
     chosen = (
         labelled.select("lang", "key", F.xxhash64("key").alias("hash"))
         .join(F.broadcast(sizes), "lang")  # MAX_LANGUAGES rows
         .filter(place * F.col("size") < 2 * SAMPLE_ROWS)
-        .withColumn("rank", F.row_number().over(order))
+        .withColumn("rank", F.row_number().over(narrow))
         .filter(F.col("rank") <= SAMPLE_ROWS)
         .select("lang", F.col("key").alias("chosen"))
         .distinct()
@@ -67,7 +69,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         labelled.join(F.broadcast(chosen), on, "left_semi")  # SAMPLE_ROWS x MAX_LANGUAGES at most
         .select("lang", "key", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"))
         .distinct()
-        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")))
+        .withColumn("hash", F.xxhash64("key"))
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SAMPLE_ROWS)
     )
     filled: dict[str, dict[bytes, None]] = {}

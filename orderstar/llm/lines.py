@@ -284,7 +284,10 @@ def _lost_line(line: bytes, gone: set[bytes], min_chars: int) -> bool:
 
 
 class LineStore:
-    """References, repeated lines and filters of a corpus; each change gives a new store and leaves the old one valid."""
+    """References, repeated lines and filters of a corpus.
+
+    Each change gives a new store and leaves the old one valid.
+    """
 
     def __init__(
         self,

@@ -140,10 +140,9 @@ def pack(
         .sortWithinPartitions(*order)
         .select("id", "n", "ids")
     )
-    fields = [
-        T.StructField(key, tokens.schema["id"].dataType),
-        *(T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")),
-    ]
+    numbers = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    fields = [T.StructField(key, tokens.schema["id"].dataType)]
+    fields += [T.StructField(c, T.LongType()) for c in numbers]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     schema = T.StructType(fields)

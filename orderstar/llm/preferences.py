@@ -123,6 +123,6 @@ def format_pairs(pairs: DataFrame, key: str) -> DataFrame:
 
 
 def shown(spans: Column) -> Column:
-    return F.array_join(
-        F.transform(spans, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
+    """Spans as start-end, separated by commas."""
+    ends = F.transform(spans, lambda s: F.concat_ws("-", *(s[c].cast("string") for c in ("start", "end"))))
+    return F.array_join(ends, ",")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, licenses, lines, packing, preferences, sharding, simhash, sketches, tokens
+from . import (
+    decontamination,
+    language,
+    licenses,
+    lines,
+    packing,
+    preferences,
+    sharding,
+    simhash,
+    sketches,
+    tokens,
+)
 from .common import documents, tokenizer_path
 from .oracles import ORACLES  # noqa: F401
 
