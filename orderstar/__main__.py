@@ -19,9 +19,9 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
             options.add_argument("raw", help="parquet folder or glob with order lines")
         options.add_argument("warehouse", help="folder of the warehouse to write")
         if core:
-            options.add_argument("--previous", help="other warehouse a first version takes users and drivers from")
+            options.add_argument("--previous", help="warehouse a first version takes users and drivers from")
             options.add_argument("--strict", action="store_true", help="stop at a broken constraint")
-        options.add_argument("--max-shuffle-partitions", type=int, help="default: as many as the input asks for")
+        options.add_argument("--max-shuffle-partitions", type=int, help="default: what the input asks for")
 
     step("load", "order lines to staging", raw=True)
     step("core", "dimensions and facts", core=True)
