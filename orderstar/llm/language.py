@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import importable
+
 SAMPLE_ROWS = 256  # labelled rows taken per language
 SAMPLE_CHARS = 4_000  # at most so much of each, so that many texts fit
 DICTIONARY_BYTES = 128 * 1024
@@ -32,7 +34,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Dictionary bytes per language, in the order of the names."""
+    """Dictionary bytes per language, the most frequent label first."""
 
     dictionaries: dict[str, bytes]
 
@@ -50,7 +52,8 @@ def fit(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("lang IS NOT NULL AND length(trim(text)) > 0")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
-    sizes = sizes.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
+    largest = sizes.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = docs.sparkSession.createDataFrame(largest, sizes.schema)
     # Only keys are ranked, and of a large language only about twice as many as are wanted.
     place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
     order = Window.partitionBy("lang").orderBy("hash", "key", "text")
@@ -77,7 +80,7 @@ def fit(
     for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["rank"])):
         filled.setdefault(row["lang"], {})[row["text"].lower().encode()] = None
     return LanguageModel(
-        {name: b"\n".join(texts)[:DICTIONARY_BYTES] for name, texts in sorted(filled.items())}
+        {r["lang"]: b"\n".join(filled[r["lang"]])[:DICTIONARY_BYTES] for r in largest if r["lang"] in filled}
     )
 
 
@@ -116,7 +119,7 @@ class Compressors:
 
 
 def classify(text: str | None, coders: Compressors) -> tuple[str, float, float]:
-    """(language, score, margin) of one text; ties go to the first name."""
+    """(language, score, margin) of one text; ties go to the more frequent label."""
     import math
 
     if not coders.names or not text or not any(map(str.isalpha, text)):
@@ -164,6 +167,7 @@ def identify(
         [T.StructField(c, docs.schema[c].dataType) for c in kept]
         + [T.StructField(c, kind) for c, kind in added.items()]
     )
+    importable(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
