@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,18 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it.
+
+    On machines without that path the package comes with ``--py-files``, as ever.
+    """
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

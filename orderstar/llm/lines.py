@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, stored
+from .common import ascii_lower, importable, stored
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -168,6 +168,7 @@ def update_filters(filters: DataFrame, changes: DataFrame, shards: int = SHARDS)
 
     A filter grows by another table of the size it started with, which its first changes decide.
     """
+    importable(changes.sparkSession)
     marked = changes.select(
         _shard(F.col("line"), shards).alias("shard"), _hash(F.col("line")).alias("hash"), "added"
     )
@@ -202,6 +203,7 @@ def _passing(refs: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
     if size > FILTER_BYTES:
         return refs
     chains = {r["shard"]: (r["buckets"], bytes(r["cells"])) for r in filters.collect()}
+    importable(refs.sparkSession)
     shared = refs.sparkSession.sparkContext.broadcast(chains)  # FILTER_BYTES at most
 
     @F.pandas_udf("boolean")
@@ -248,6 +250,7 @@ def rewrite(
     )
     rows = rows.select(*kept, F.col(text).cast("binary").alias("_raw"), "_lost")
     at = kept.index(text)
+    importable(docs.sparkSession)
     schema = T.StructType(
         [
             *(docs.schema[c] for c in kept),

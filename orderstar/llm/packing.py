@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import importable, stored
 from .tokens import encoder
 
 LENGTH = 2048
@@ -129,6 +129,7 @@ def pack(
     by key; repeated rows are packed each on their own. An empty table has no pieces.
     ``partition_tokens`` (default ``PARTITION_TOKENS``) is how many ids a sorted partition aims at.
     """
+    importable(docs.sparkSession)
     tokens = stored(tokenized(docs, tokenizer, key, text), "tokens")
     total = tokens.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(1, -(-total // (partition_tokens or PARTITION_TOKENS)))

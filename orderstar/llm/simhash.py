@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
-from .common import stored
+from .common import importable, stored
 
 BITS = 64
 TEXT_BYTES = 4 << 20  # of a long text that are split into words at a time
@@ -91,6 +91,7 @@ def fingerprints(
     Words are split at ASCII white space after lower-casing A-Z. Other columns are ignored, repeated
     rows stay repeated.
     """
+    importable(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
     schema = T.StructType(
         [T.StructField("id", rows.schema["id"].dataType), T.StructField("fingerprint", T.LongType())]
@@ -305,6 +306,7 @@ def near_links(codes: DataFrame, distance: int = 3) -> DataFrame:
     """Links (a, b) that connect distinct fingerprints just as all pairs within the distance do."""
     if not 0 <= distance <= 7:
         raise ValueError("distance must be 0 to 7")
+    importable(codes.sparkSession)
     tree = _node_tree(distance)
     parts = distance + 1
     code = F.col("fingerprint")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import importable, stored
 
 BLOCK_PRETOKENS = 400_000  # distinct pre-tokens of a block before it is closed
 BLOCK_BYTES = 64 << 20
@@ -279,6 +279,7 @@ def count_tokens(
 
     ``n_tokens`` is what the library gives for the whole text without added special tokens.
     """
+    importable(docs.sparkSession)
     rows = stored(_frequencies(docs, tokenizer, key, text), "frequencies")
     listed = rows.filter("first IS NOT NULL").select(
         "block", "first", F.posexplode("pretokens").alias("at", "pretoken")
