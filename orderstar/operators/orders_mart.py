@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import calendar, discounted_sum, ratio, same
+from ..functions.columns import calendar, discounted_sum, ratio
 from ..schemas import conform
 
 _GROUP = ["report_date", "city_id", "store_id"]
@@ -41,12 +41,11 @@ def order_driver_stats(assignments: DataFrame) -> DataFrame:
     )
 
 
-def _distinct_per_group(rows: DataFrame, column: str, name: str) -> DataFrame:
-    """Number of different values per group; both steps combine before they shuffle."""
-    counted = rows.select(*_GROUP, column).distinct().groupBy(*_GROUP).agg(
-        F.count(column).alias(name)
-    )
-    return counted.select(*(F.col(c).alias(f"_{name}_{c}") for c in _GROUP), name)
+def _distinct_per_group(rows: DataFrame, column: str, count: Column) -> DataFrame:
+    """One row per group and different value; repeated values combine before the shuffle."""
+    values = rows.groupBy(*_GROUP, column).agg(count.alias("_rows"))
+    seen = F.col(column).isNotNull() & (F.col("_rows") > 0)
+    return values.select(*_GROUP, seen.alias(f"{column}_seen"))
 
 
 def orders_mart(
@@ -62,13 +61,18 @@ def orders_mart(
     By default amounts count once per driver assignment of the order (the model's own definition);
     ``fan_out=False`` counts them once per order.
 
-    Everything but the drivers is aggregated on one row per order: order counts are plain conditional
-    counts, amounts are multiplied by the number of assignments. Users are counted on the order grain
-    and drivers on the (order, driver) grain, as small aggregates that join the finished groups.
-    Assignments are folded per (order, driver) before they meet per order, so a hot order is no hot
-    task. Grouping uses the city id; names are attached to the finished groups.
+    The measures come from one row per order: order counts are plain conditional counts, amounts are
+    multiplied by the number of assignments. Different users and drivers of a group join them as rows
+    of their own, so one aggregation per group adds up everything. Assignments are folded per (order,
+    driver) before they meet per order, so a hot order is no hot task, and both uses of them share these
+    shuffles. Grouping uses the city id; names are attached to the finished groups.
     """
-    pairs = assignments.groupBy("order_id", "driver_id").agg(F.count("*").alias("times"))
+    pairs = (
+        assignments.filter("order_id IS NOT NULL")
+        .groupBy("order_id", "driver_id")
+        .agg(F.count("*").alias("times"))
+        .repartition("order_id")
+    )
     drivers = pairs.groupBy("order_id").agg(
         F.sum("times").cast("int").alias("assignment_cnt"), F.count("driver_id").alias("driver_cnt")
     )
@@ -82,28 +86,36 @@ def orders_mart(
         .join(drivers, "order_id", "left")
     )
     canceled = F.col("is_canceled")
-    totals = rows.groupBy(*_GROUP).agg(
-        F.coalesce(F.sum(F.col("gmv") * times), F.lit(0)).alias("gmv"),
-        F.coalesce(F.sum(F.col("revenue") * times), F.lit(0)).alias("revenue"),
-        F.coalesce(F.sum(F.col("delivery_cost") * times), F.lit(0)).alias("cost"),
-        F.count("*").alias("created_orders_cnt"),
-        F.count_if("is_delivered").alias("delivered_orders_cnt"),
-        F.count_if(canceled).alias("canceled_orders_cnt"),
-        F.count_if(canceled & F.col("has_delivery_time")).alias("canceled_after_delivery_cnt"),
-        F.count_if(canceled & F.col("service_fault")).alias("canceled_service_fault_cnt"),
-        F.count_if(F.col("driver_cnt") > 1).alias("courier_change_orders_cnt"),
-    )
-    place = placed.select("order_id", *_GROUP)
-    customers = _distinct_per_group(placed, "user_id", "customers_cnt")
-    active = _distinct_per_group(
-        pairs.select("order_id", "driver_id").join(place, "order_id"), "driver_id", "active_drivers_cnt"
+    measures = rows.select(
+        *_GROUP,
+        (F.col("gmv") * times).alias("gmv"),
+        (F.col("revenue") * times).alias("revenue"),
+        (F.col("delivery_cost") * times).alias("cost"),
+        F.lit(True).alias("created"),
+        F.col("is_delivered").alias("delivered"),
+        canceled.alias("canceled"),
+        (canceled & F.col("has_delivery_time")).alias("canceled_after_delivery"),
+        (canceled & F.col("service_fault")).alias("canceled_service_fault"),
+        (F.col("driver_cnt") > 1).alias("courier_change"),
     )
-    counted = totals.join(customers, same(totals, customers, _GROUP, "_customers_cnt_"), "left")
-    counted = counted.join(active, same(totals, active, _GROUP, "_active_drivers_cnt_"), "left")
-    counted = counted.select(
-        *totals.columns,
-        F.coalesce("customers_cnt", F.lit(0)).alias("customers_cnt"),
-        F.coalesce("active_drivers_cnt", F.lit(0)).alias("active_drivers_cnt"),
+    # Drivers are counted with ``times`` so that the folded pairs are the same frame as above.
+    active = pairs.join(placed.select("order_id", *_GROUP), "order_id")
+    different = [
+        _distinct_per_group(placed, "user_id", F.count("*")),
+        _distinct_per_group(active, "driver_id", F.sum("times")),
+    ]
+    for values in different:
+        measures = measures.unionByName(values, allowMissingColumns=True)
+    counted = measures.groupBy(*_GROUP).agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gmv", "revenue", "cost")),
+        F.count_if("created").alias("created_orders_cnt"),
+        F.count_if("delivered").alias("delivered_orders_cnt"),
+        F.count_if("canceled").alias("canceled_orders_cnt"),
+        F.count_if("canceled_after_delivery").alias("canceled_after_delivery_cnt"),
+        F.count_if("canceled_service_fault").alias("canceled_service_fault_cnt"),
+        F.count_if("courier_change").alias("courier_change_orders_cnt"),
+        F.count_if("user_id_seen").alias("customers_cnt"),
+        F.count_if("driver_id_seen").alias("active_drivers_cnt"),
     )
     named = counted.join(cities, "city_id").select(
         *calendar("report_date"),
