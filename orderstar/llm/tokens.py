@@ -246,7 +246,7 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _piece_counts(listed: DataFrame, tokenizer: str) -> DataFrame:
-    """(of, code and pieces in one number) of every listed pre-token.
+    """(of, packed codes and pieces) of all listed pre-tokens, one row per block and batch.
 
     All rows of a pre-token lie side by side in one partition, so it is encoded once.
     """
@@ -263,13 +263,19 @@ def _piece_counts(listed: DataFrame, tokenizer: str) -> DataFrame:
             if values:
                 last, pieces = values[-1], counts[-1]
             per_row = np.repeat(counts, np.diff(ends, prepend=0))
-            codes = batch.column(2).to_numpy().astype(np.int64)
+            blocks, codes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            order = np.lexsort((codes, blocks))
+            blocks, codes, per_row = blocks[order], codes[order], per_row[order]
+            starts = np.flatnonzero(np.diff(blocks, prepend=-1))
+            packed = [
+                _packed(codes[i:j], per_row[i:j]) for i, j in zip(starts, [*starts[1:], len(blocks)])
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array((codes << 32) | per_row)], names=["of", "counted"]
+                [pa.array(blocks[starts]), pa.array(packed, pa.binary())], names=["of", "packed"]
             )
 
     dealt = listed.repartition("pretoken").sortWithinPartitions("pretoken")
-    return dealt.select("pretoken", "block", "code").mapInArrow(run, "of long, counted long")
+    return dealt.select("pretoken", "block", "code").mapInArrow(run, "of long, packed binary")
 
 
 def count_tokens(
@@ -296,9 +302,10 @@ def count_tokens(
 
     def total(block: pa.Table, vocabulary: pa.Table) -> pa.Table:
         """Documents of a block; what is together here is bounded by the size of a block."""
-        counted = vocabulary["counted"].to_numpy()
-        pieces = np.zeros(len(counted), dtype=np.int64)
-        pieces[counted >> 32] = counted & 0xFFFFFFFF
+        known = [_unpacked(raw.as_py()) for raw in vocabulary["packed"]]
+        pieces = np.zeros(1 + max((codes[-1] for codes, _ in known), default=0), dtype=np.int64)
+        for codes, counts in known:
+            pieces[codes] = counts
         tokens = []
         for raw in block["frequencies"]:
             codes, times = _unpacked(raw.as_py())
