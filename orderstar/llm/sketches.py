@@ -18,7 +18,7 @@ from .common import ascii_lower
 
 SHINGLE = 5
 FRACTION_BITS = 2  # hashes below a quarter of the range are kept
-BUCKET_ROWS = 5_000  # neighbours are looked for inside buckets of about so many rows
+BUCKET_ROWS = 1_000  # neighbours are looked for inside buckets of about so many rows
 MAX_BUCKETS = 100_000  # what the driver holds of them; beyond it buckets grow, and their windows spill
 
 
