@@ -54,26 +54,21 @@ def with_dense_key(rows: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     )
 
 
-def _position_in_group(rows: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """Position of each row (no two tie) in its group, 1 for the first.
+def _shifts(placed: DataFrame, group: list[str]) -> DataFrame:
+    """Per group and partition: what turns a row's place there into its position in the group.
 
-    The join puts together what one group has in one partition, never the whole of a group.
+    Columns carry the prefix ``_g_``. There is one row per partition a group touches.
     """
-    placed = _placed(rows, [F.col(c) for c in group] + order)
     pieces = placed.groupBy(*group, "_part").agg(
         F.min("_row").alias("_first"), F.count("*").alias("_size")
     )
     earlier = (
         Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = pieces.select(
-        *(F.col(c).alias(f"_g_{c}") for c in group),
-        F.col("_part").alias("_g__part"),
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    on = same(placed, starts, [*group, "_part"], "_g_")
-    return placed.join(starts, on).select(
-        *rows.columns, (F.col("_row") + F.col("_shift") + 1).alias(name)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    return pieces.select(
+        *(F.col(c).alias(f"_g_{c}") for c in [*group, "_part"]),
+        (before - F.col("_first") + 1).alias("_shift"),
     )
 
 
@@ -87,12 +82,22 @@ def two_way_ranks(
     runs of equal values change places and keep their inner order, so a row's second rank follows from
     where its run begins, how long it is, and the size of the group.
     """
-    order = [F.desc_nulls_first(value), F.asc_nulls_last(tie)]
-    ranked = _position_in_group(rows, group, order, down)
-    runs = ranked.groupBy(*group, value).agg(
-        F.min(down).alias("_start"), F.count("*").alias("_length")
+    order = [*(F.col(c) for c in group), F.desc_nulls_first(value), F.asc_nulls_last(tie)]
+    placed = _placed(rows, order)
+    shifts = _shifts(placed, group)
+    in_group = [*group, "_part"]
+    parts = placed.groupBy(*group, value, "_part").agg(
+        F.min("_row").alias("_from"), F.count("*").alias("_size")
+    )
+    runs = (
+        parts.join(shifts, same(parts, shifts, in_group, "_g_"))
+        .groupBy(*(parts[c] for c in [*group, value]))
+        .agg(
+            F.min(F.col("_from") + F.col("_shift")).alias("_start"),
+            F.sum("_size").alias("_length"),
+        )
     )
-    sizes = ranked.groupBy(*group).agg(F.max(down).alias("_rows"))
+    sizes = placed.groupBy(*group).agg(F.count("*").alias("_rows"))
     sizes = sizes.select(*(F.col(c).alias(f"_s_{c}") for c in group), "_rows")
     # Stored, so that the join below has a plain shuffle on both sides and AQE can split a hot run.
     turned = checkpointed(
@@ -101,5 +106,9 @@ def two_way_ranks(
             (F.col("_rows") - 2 * F.col("_start") - F.col("_length") + 2).alias("_turn"),
         )
     )
+    # This join puts together what a group has in one partition, never the whole of a group.
+    ranked = placed.join(shifts, same(placed, shifts, in_group, "_g_")).select(
+        *(placed[c] for c in rows.columns), (F.col("_row") + F.col("_shift")).alias(down)
+    )
     both = ranked.join(turned, same(ranked, turned, [*group, value], "_r_"))
     return checkpointed(both.select(*rows.columns, down, (F.col(down) + F.col("_turn")).alias(up)))
