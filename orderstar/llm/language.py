@@ -23,7 +23,8 @@ from .common import importable
 SAMPLE_ROWS = 256  # labelled rows taken per language
 SAMPLE_CHARS = 4_000  # at most so much of each, so that many texts fit
 DICTIONARY_BYTES = 128 * 1024
-MAX_LANGUAGES = 64  # the labels with most rows; bounds what the driver holds to 64 dictionaries
+TOTAL_BYTES = 64 * DICTIONARY_BYTES  # of all dictionaries; with more than 64 labels each is smaller
+LEAST_BYTES = 1024  # but never smaller than this, however many labels there are
 BLOCK_BYTES = 1024
 LEVEL = 9
 NARROW = 0.01  # closer languages are compared again with every sixteenth of their dictionaries
@@ -39,20 +40,26 @@ class LanguageModel:
     dictionaries: dict[str, bytes]
 
 
+def dictionary_bytes(labels: int) -> int:
+    """Size of each dictionary: the more labels, the smaller, so that all together stay bounded."""
+    return max(LEAST_BYTES, min(DICTIONARY_BYTES, TOTAL_BYTES // max(1, labels)))
+
+
 def fit(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> LanguageModel:
     """Fill dictionaries from labelled rows.
 
     The sample is bounded: per language the ``SAMPLE_ROWS`` rows with the smallest hash of their key,
-    ``SAMPLE_CHARS`` characters of each, up to ``DICTIONARY_BYTES``. Rows without text or label are
-    not used. Equal samples are used once.
+    ``SAMPLE_CHARS`` characters of each, up to ``dictionary_bytes``. Every label gets a dictionary. Rows
+    without text or label are not used. Equal samples are used once.
     """
     labelled = docs.select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
     ).filter("lang IS NOT NULL AND length(trim(text)) > 0")
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("size"))
-    largest = sizes.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES).collect()
+    largest = sizes.orderBy(F.desc("size"), "lang").collect()  # one row per label
+    share = dictionary_bytes(len(largest))
     sizes = docs.sparkSession.createDataFrame(largest, sizes.schema)
     # Only keys are ranked, and of a large language only about twice as many as are wanted.
     place = F.shiftrightunsigned("hash", 11) / float(1 << 53)
@@ -60,27 +67,37 @@ def fit(
     narrow = Window.partitionBy("lang").orderBy("hash", "key")
     chosen = (
         labelled.select("lang", "key", F.xxhash64("key").alias("hash"))
-        .join(F.broadcast(sizes), "lang")  # MAX_LANGUAGES rows
+        .join(F.broadcast(sizes), "lang")  # one row per label
         .filter(place * F.col("size") < 2 * SAMPLE_ROWS)
         .withColumn("rank", F.row_number().over(narrow))
         .filter(F.col("rank") <= SAMPLE_ROWS)
         .select("lang", F.col("key").alias("chosen"))
         .distinct()
     )
+    if len(largest) * DICTIONARY_BYTES <= TOTAL_BYTES:
+        chosen = F.broadcast(chosen)  # SAMPLE_ROWS per label
     on = (labelled["lang"] == chosen["lang"]) & labelled["key"].eqNullSafe(chosen["chosen"])
     sample = (
-        labelled.join(F.broadcast(chosen), on, "left_semi")  # SAMPLE_ROWS x MAX_LANGUAGES at most
+        labelled.join(chosen, on, "left_semi")
         .select("lang", "key", F.left("text", F.lit(SAMPLE_CHARS)).alias("text"))
         .distinct()
         .withColumn("hash", F.xxhash64("key"))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= SAMPLE_ROWS)
     )
+    # Only what can enter a dictionary goes to the driver: a byte a character at least, copies once.
+    earlier = Window.partitionBy("lang").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    sample = (
+        sample.groupBy("lang", "text")
+        .agg(F.min("rank").alias("rank"))
+        .withColumn("before", F.coalesce(F.sum(F.length("text")).over(earlier), F.lit(0)))
+        .filter(F.col("before") < 2 * share)  # twice, as lower-casing can make more copies
+    )
     filled: dict[str, dict[bytes, None]] = {}
     for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["rank"])):
         filled.setdefault(row["lang"], {})[row["text"].lower().encode()] = None
     return LanguageModel(
-        {r["lang"]: b"\n".join(filled[r["lang"]])[:DICTIONARY_BYTES] for r in largest if r["lang"] in filled}
+        {r["lang"]: b"\n".join(filled[r["lang"]])[:share] for r in largest if r["lang"] in filled}
     )
 
 

@@ -48,3 +48,15 @@ def test_odd_rows(docs, odd, odd_rows, empty):
 def test_one_language_only(make):
     rows = make((1, "only one label here", "xx"), (2, "another text", "xx"))
     assert {r["lang_pred"] for r in language.identify(rows, language.fit(rows)).collect()} == {"xx"}
+
+
+def test_every_label_gets_a_dictionary(make):
+    def text(label, row):
+        return " ".join(f"{chr(97 + label % 26)}{chr(97 + label // 26)}{chr(97 + (row + k) % 9)}or" for k in range(40))
+
+    rows = make(*((1000 * n + r, text(n, r), f"l{n:02}") for n in range(80) for r in range(3)))
+    model = language.fit(rows)
+    assert len(model.dictionaries) == 80
+    assert sum(map(len, model.dictionaries.values())) <= language.TOTAL_BYTES
+    found = language.identify(rows, model).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id'] // 1000:02}" for r in found)
