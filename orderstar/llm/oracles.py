@@ -100,8 +100,40 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+_DRAW = "('0x' || h[{}:{}])::bigint"
+
+OP13 = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::varchar, '')) AS h
+  FROM documents),
+unit AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+         {", ".join(f"{_DRAW.format(1 + 8 * i, 8 + 8 * i)} AS h{1 + i}" for i in range(4))}
+  FROM doc),
+place AS (
+  SELECT doc_id, t, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS low,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS high,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM unit),
+part AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:low], ''), '') AS p,
+         coalesce(array_to_string(u[low + 1:high], ''), '') AS m,
+         coalesce(array_to_string(u[high + 1:n], ''), '') AS s
+  FROM place)
+SELECT doc_id, n::bigint AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM part
+"""
+
 ORACLES = {
     "op3_decontamination": OP3,
     "op4_chat_format": OP4,
     "op10_line_dedup": OP10,
+    "op13_infill": OP13,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    infill,
     language,
     licenses,
     lines,
@@ -126,6 +127,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infill(documents(spark, sf_dir))
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -137,4 +152,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op13_infill": op13_infill,
 }
