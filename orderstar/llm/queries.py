@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bin_slack,
     decontamination,
     infill,
     language,
@@ -24,6 +25,7 @@ from .common import documents, tokenizer_path
 from .oracles import ORACLES  # noqa: F401
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 1024
 SHARD_COUNT = 8
 
@@ -127,6 +129,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return bin_slack.pack(docs, tokenizer_path(WORD_TOKENIZER), with_ids=False)
+
+
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.infill(documents(spark, sf_dir))
     restored = infill.restore(F.col("output"), F.col("form"))
@@ -152,5 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op12_best_fit": op12_best_fit,
     "op13_infill": op13_infill,
 }

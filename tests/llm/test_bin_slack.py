@@ -1,0 +1,191 @@
+import random
+import zlib
+from bisect import bisect_left, insort
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from orderstar.llm import bin_slack
+from orderstar.llm.common import tokenizer_path
+from orderstar.llm.queries import QUERIES
+from orderstar.llm.word_bpe import WordEncoder, word_encoder
+
+PATH = tokenizer_path("word_bpe_49k.json")
+
+
+def check(rows, texts, length=2048):
+    """Every id once, at its place; documents cut only where they must; sequences gapless.
+
+    Returns the number of sequences and the least it could be.
+    """
+    library = Tokenizer.from_file(PATH)
+    wanted, total = Counter(), 0
+    for key, text in texts:
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        total += len(ids)
+        for i, start in enumerate(range(0, len(ids), length)):
+            own = ids[start : start + length]
+            wanted[key, i, start, len(own), zlib.crc32(own.tobytes())] += 1
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert Counter(tuple(r[c] for c in columns) for r in rows) == wanted
+    by_sequence = defaultdict(list)
+    for r in rows:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for own in by_sequence.values():
+        at = 0
+        for offset, size in sorted(own):
+            assert offset == at
+            at += size
+        assert at <= length
+    return len(by_sequence), -(-total // length)
+
+
+def test_whole_table(spark, sf_dir, texts):
+    sequences, least = check(QUERIES["op12_best_fit"](spark, sf_dir).collect(), texts)
+    assert sequences <= least + 1
+
+
+def test_ids(docs, texts):
+    for row in bin_slack.pack(docs, PATH, length=100).limit(50).collect():
+        assert zlib.crc32(np.array(row["ids"], dtype="<u4").tobytes()) == row["ids_crc32"]
+        assert len(row["ids"]) == row["length"] <= 100
+
+
+@pytest.mark.parametrize("length", [1, 7, 2048])
+def test_odd_rows(odd, odd_rows, length):
+    short = odd if length > 1 else odd.filter("length(text) < 100 OR text IS NULL")
+    texts = [r[:2] for r in odd_rows if length > 1 or r[1] is None or len(r[1]) < 100]
+    check(bin_slack.pack(short, PATH, length=length, with_ids=False).collect(), texts, length)
+
+
+def test_names_keys_and_empty_tables(spark, empty):
+    assert bin_slack.pack(empty, PATH).collect() == []
+    assert bin_slack.pack(empty, PATH, with_ids=False).columns[0] == "doc_id"
+    names = ["rank", "tie", "to", "id", "piece", "length", "_at", "_part", "_row", "_before"]
+    docs = spark.createDataFrame(
+        [("k", "one two three", *["x"] * 10), (None, "four", *["x"] * 10)],
+        ", ".join(f"{c} string" for c in ["doc_id", "text", *names]),
+    )
+    rows = bin_slack.pack(docs, PATH).collect()
+    check(rows, [("k", "one two three"), (None, "four")])
+    with pytest.raises(ValueError):
+        bin_slack.pack(docs, PATH, length=0)
+
+
+def test_many_equal_texts(make):
+    """Copies are dealt over partitions and still fill sequences exactly."""
+    texts = [(k, "copy of one text") for k in range(3000)] + [(9999, "x " * 5000)]
+    sequences, least = check(bin_slack.pack(make(*texts), PATH, with_ids=False).collect(), texts)
+    assert sequences <= least + 1
+
+
+def plainly(lengths, room):
+    """Sequences of minimum bin slack by trying every combination."""
+    left, sequences = sorted(lengths, reverse=True), []
+    while left:
+        seed, *others = left
+        best = max(
+            (c for n in range(len(others) + 1) for c in combinations(others, n) if sum(c) <= room - seed),
+            key=sum,
+        )
+        sequences.append(seed + sum(best))
+        for size in (seed, *best):
+            left.remove(size)
+    return sequences
+
+
+def test_each_sequence_is_the_fullest():
+    draw = random.Random(3)
+    for _ in range(200):
+        room = draw.randint(5, 60)
+        lengths = [draw.randint(1, room) for _ in range(draw.randint(0, 9))]
+        left = Counter(lengths)
+        for chosen, times in bin_slack.fillings(Counter(lengths), room):
+            for _ in range(times):
+                assert chosen[0] == max(+left)
+                left[chosen[0]] -= 1
+                others = list((+left).elements())
+                sums = {sum(c) for n in range(len(others) + 1) for c in combinations(others, n)}
+                assert sum(chosen[1:]) == max(s for s in sums if s <= room - chosen[0])
+                left -= Counter(chosen[1:])
+        assert not +left
+        # Equal fillings can be made of different pieces, so the numbers may differ by little.
+        count = sum(times for _, times in bin_slack.fillings(Counter(lengths), room))
+        assert abs(count - len(plainly(lengths, room))) <= 1
+
+
+def test_repeated_fillings_equal_single_ones():
+    """Using a combination many times at once is what one by one would give."""
+    draw = random.Random(4)
+    counts = {size: draw.randint(1, 2000) for size in range(1, 257)}
+    found = bin_slack.fillings(counts, 256)
+    taken = Counter()
+    for chosen, times in found:
+        assert sum(chosen) <= 256
+        for size in chosen:
+            taken[size] += times
+    assert taken == Counter(counts)
+    lengths = list(Counter(counts).elements())
+    assert sum(times for _, times in found) <= 1.005 * best_fit_decreasing(lengths, 256)
+    assert len(found) < 1000
+    table = bin_slack.slots(found)
+    assert sum(table[:, 3]) == sum(counts.values())
+
+
+def best_fit_decreasing(lengths, room):
+    left, count = [], 0
+    for size in sorted(lengths, reverse=True):
+        at = bisect_left(left, size)
+        count += at == len(left)
+        insort(left, (left.pop(at) if at < len(left) else room) - size)
+    return count
+
+
+def test_no_worse_than_best_fit():
+    draw = random.Random(5)
+    for _ in range(100):
+        room = draw.randint(20, 300)
+        lengths = [draw.randint(1, room) for _ in range(draw.randint(1, 120))]
+        count = sum(times for _, times in bin_slack.fillings(Counter(lengths), room))
+        assert -(-sum(lengths) // room) <= count <= best_fit_decreasing(lengths, room) + 1
+
+
+def test_ids_equal_the_library_on_every_character():
+    library, coder = Tokenizer.from_file(PATH), word_encoder(PATH)
+    assert isinstance(coder, WordEncoder) and coder._ranked
+    for first in range(0, 0x33000, 16):
+        block = [chr(c) for c in range(first, first + 16) if not 0xD800 <= c < 0xE000]
+        for text in ("".join(f"a{c}b {c} '{c}1{c}{c} " for c in block), " ".join(block)):
+            assert list(coder.ids(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_equal_the_library_on_random_words():
+    library, coder = Tokenizer.from_file(PATH), word_encoder(PATH)
+    draw = random.Random(6)
+    known = [w.removesuffix("</w>") for w in library.get_vocab() if w.isascii()]
+    odd = ["<|endoftext|>", "'s", "\x00", "\x85", "é", "Σ", "İ", "１２", " ", "don't", "日本"]
+    for _ in range(2000):
+        words = draw.choices(known, k=30) + draw.choices(odd, k=draw.randint(0, 2))
+        draw.shuffle(words)
+        text = "".join(w + draw.choice(["", "", " ", "\n", "  "]) for w in words)
+        assert list(coder.ids(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    library, coder = Tokenizer.from_file(PATH), word_encoder(PATH)
+    text = "It's a Straße, 東京 é ́ x\n\nyes  no 12 " * 500
+    whole = library.encode(text, add_special_tokens=False).ids
+    for size in (1, 17, 400):
+        monkeypatch.setattr("orderstar.llm.tokens.TEXT_CHARS", size)
+        assert len(list(coder.segments(text))) > 10
+        assert list(coder.ids(text)) == whole
+
+
+def test_other_files_take_the_general_encoder():
+    other = word_encoder(tokenizer_path("byte_bpe_50k.json"))
+    assert not isinstance(other, WordEncoder)
+    word_encoder.cache_clear()
