@@ -100,6 +100,42 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+# CRC-32 of an ASCII string, bit by bit.
+_CRC32 = """xor(list_reduce(
+  [4294967295::bigint] || [ascii(x)::bigint for x in string_split({}, '')],
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda c, d: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+OP11 = f"""
+WITH conv AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                       ORDER BY turn NULLS FIRST) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+drawn AS (SELECT conv_id, t, {_CRC32.format("conv_id::varchar")} % 9 AS h FROM conv),
+rebuilt AS (
+  SELECT a.conv_id, coalesce(b.t[1:a.h], []) || a.t[a.h + 1:len(a.t)] AS t
+  FROM drawn a LEFT JOIN conv b ON b.conv_id = a.conv_id - a.conv_id % 5),
+path AS (
+  SELECT conv_id, len(t) AS turns, d,
+         list_transform(range(0, d + 1), lambda k: sha256(t[1:k]::json::varchar)) AS ids,
+         CASE WHEN d > 0 THEN strlen(t[d].text) ELSE 0 END AS size
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+node AS (
+  SELECT ids[d + 1] AS id, any_value(ids) AS ids, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(size) AS size, CASE WHEN d > 0 THEN any_value(ids[d]) END AS parent,
+         coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (turns = d), '') AS ended
+  FROM path GROUP BY ids[d + 1], d),
+child AS (SELECT parent AS id, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY parent),
+counted AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (id)),
+below AS (
+  SELECT id, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * size) AS saved
+  FROM (SELECT unnest(ids) AS id, n_children, n_convs, size FROM counted) GROUP BY id)
+SELECT c.conv_id, c.depth::bigint AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       n_leaves, saved::bigint AS saved_tokens, sha256(c.ended) AS ends_sha256
+FROM counted c JOIN below USING (id) LEFT JOIN counted p ON c.parent = p.id
+"""
+
 _DRAW = "('0x' || h[{}:{}])::bigint"
 
 OP13 = f"""
@@ -135,5 +171,6 @@ ORACLES = {
     "op3_decontamination": OP3,
     "op4_chat_format": OP4,
     "op10_line_dedup": OP10,
+    "op11_prefix_trie": OP11,
     "op13_infill": OP13,
 }

@@ -16,6 +16,7 @@ from . import (
     lines,
     packing,
     preferences,
+    prefix_trie,
     sharding,
     simhash,
     sketches,
@@ -129,6 +130,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    ranked, spans = prefix_trie.ordered(turns)
+    conv = F.col("conv")
+    # Conversations of five consecutive ids share up to eight of their first turns.
+    taken = F.crc32(conv.cast("string").cast("binary")) % 9
+    rows = prefix_trie.branched(ranked, spans, conv - conv % 5, taken, 8)
+    found = prefix_trie.trie(rows, spans.select("conv"))
+    digests = prefix_trie.digests_of_ends(found.ends)
+    return found.nodes.join(digests, prefix_trie.NODE, "left").select(
+        F.col("conv").alias("conv_id"),
+        "depth",
+        F.col("up_conv").alias("parent_conv_id"),
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        F.col("saved").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return bin_slack.pack(docs, tokenizer_path(WORD_TOKENIZER), with_ids=False)
@@ -159,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_fingerprints": op9_fingerprints,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_best_fit": op12_best_fit,
     "op13_infill": op13_infill,
 }
