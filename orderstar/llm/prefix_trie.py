@@ -75,7 +75,9 @@ def ordered(
         # Lets equal rows lie in several range partitions.
         F.monotonically_increasing_id().alias("tie"),
     )
-    ranked = with_dense_key(rows, "rank", ["conv", "turn", "digest", "tie"]).drop("turn", "tie")
+    # Stored first: a range sort reads its input twice, and this is where the texts are read.
+    ranked = with_dense_key(checkpointed(rows), "rank", ["conv", "turn", "digest", "tie"])
+    ranked = ranked.drop("turn", "tie")
     spans = ranked.groupBy("conv").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
     # Stored, so that joins with it are plain shuffles and AQE can split a long conversation.
     return ranked, checkpointed(spans)
@@ -160,7 +162,8 @@ def _blocks(rows: DataFrame, block_turns: int) -> DataFrame:
 
     arrow_schema = _arrow(schema)
     block = F.floor(F.col("at") / block_turns).cast("long").alias("block")
-    spread = rows.select("conv", block, "at", "digest", "size").repartitionByRange("conv", "block")
+    turns = checkpointed(rows.select("conv", block, "at", "digest", "size"))
+    spread = turns.repartitionByRange("conv", "block")
     local = spread.sortWithinPartitions("conv", "block", "at").drop("at").mapInArrow(run, schema)
     return _carried(checkpointed(local))
 
