@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keys import with_dense_key
-from .common import importable
+from .common import importable, stored
 from .word_bpe import word_encoder
 
 LENGTH = 2048
@@ -155,7 +155,8 @@ def pack(
     if length < 1:
         raise ValueError("length must be positive")
     importable(docs.sparkSession)
-    cut = pieces(docs, tokenizer, key, text, length, with_ids)
+    # Stored, since a range sort reads its input twice.
+    cut = stored(pieces(docs, tokenizer, key, text, length, with_ids), "pieces")
     # The last column lets equal rows lie in several range partitions.
     tied = cut.withColumn("tie", F.monotonically_increasing_id())
     ranked = with_dense_key(tied, "rank", ["length", "id", "piece", "tie"])
