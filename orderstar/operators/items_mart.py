@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import calendar, discounted_sum, same
 from ..schemas import conform
+from ..session import initial_partitions
 from .keys import two_way_ranks
 
 PLACE = ["city_name", "store_id"]
@@ -58,52 +61,81 @@ def items_daily_base(
     )
 
 
-def _ranks(suffix: str) -> list[str]:
-    return [f"popularity_rank_{suffix}", f"anti_popularity_rank_{suffix}"]
+#: Column that says in which day, week or month a daily row lies.
+PERIODS = {"day": "report_date", "week": "week_start", "month": "month_start"}
+
+
+def _ranks(period: str) -> list[str]:
+    return [f"popularity_rank_{period}", f"anti_popularity_rank_{period}"]
 
 
-def _period_rank(daily: DataFrame, period: str, suffix: str) -> DataFrame:
-    """Sum units per period and item, then rank the items of each period and place."""
-    group = [period, *PLACE]
-    totals = daily.groupBy(*group, "item_id").agg(F.sum("ordered_units").alias("units"))
-    ranked = two_way_ranks(totals, group, "units", "item_id", *_ranks(suffix))
-    return ranked.select(
-        *group, "item_id", *(F.col(r).cast("bigint").alias(r) for r in _ranks(suffix))
+def period_ranks(daily: DataFrame, periods: list[str]) -> DataFrame:
+    """Ranks of the items of a store by units over each day, week or month, in one sort for all periods.
+
+    Columns: period (its name), start, place, item_id, units, popular, unpopular.
+    """
+    # All periods are summed on one partitioning, in as many tasks as a shuffle begins with: what AQE
+    # would merge here is sorted next.
+    needed = [PERIODS[period] for period in periods]
+    sold = daily.select(*needed, *PLACE, "item_id", "ordered_units").repartition(
+        initial_partitions(daily.sparkSession), "city_name", "item_id"
+    )
+    units = []
+    for period in periods:
+        key = [F.lit(period).alias("period"), F.col(PERIODS[period]).alias("start"), *PLACE, "item_id"]
+        if period == "day":
+            units.append(sold.select(*key, F.col("ordered_units").alias("units")).distinct())
+        else:
+            units.append(sold.groupBy(*key).agg(F.sum("ordered_units").alias("units")))
+    group = ["period", "start", *PLACE]
+    return two_way_ranks(
+        reduce(DataFrame.unionByName, units), group, "units", "item_id", "popular", "unpopular"
+    )
+
+
+def _named(ranked: DataFrame, period: str) -> DataFrame:
+    """One period's ranks under the names of the mart."""
+    own = ranked.filter(F.col("period") == period)
+    ranks = zip(("popular", "unpopular"), _ranks(period))
+    return own.select(
+        F.col("start").alias(PERIODS[period]),
+        *PLACE,
+        "item_id",
+        "units",
+        *(F.col(c).cast("bigint").alias(r) for c, r in ranks),
     )
 
 
 def items_week_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over full Monday weeks."""
-    return _period_rank(daily, "week_start", "week")
+    return _named(period_ranks(daily, ["week"]), "week").drop("units")
 
 
 def items_month_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over calendar months."""
-    return _period_rank(daily, "month_start", "month")
+    return _named(period_ranks(daily, ["month"]), "month").drop("units")
 
 
-def items_mart(daily: DataFrame, week_ranks: DataFrame, month_ranks: DataFrame) -> DataFrame:
+def items_mart(daily: DataFrame) -> DataFrame:
     """Daily rows with their day rank and the ranks of their week and month.
 
-    The day rank is computed on (day, place, item, units) alone. All three ranks then meet the daily
-    rows on one partitioning, by city and item, which daily rows always have. Week and month ranks are
-    matched by plain equality: rows without a date or store get none.
+    Ranks are computed on (period, place, item, units) alone, all three in one stored table. They then
+    meet the daily rows on one partitioning, by city and item, which daily rows always have. Week and
+    month ranks are matched by plain equality: rows without a date or store get none.
     """
     shared = ["city_name", "item_id"]
-    group = ["report_date", *PLACE]
-    values = [*group, "ordered_units", "item_id"]
-    day = two_way_ranks(
-        daily.select(*values).distinct(), group, "ordered_units", "item_id", *_ranks("day")
-    )
+    ranked = period_ranks(daily, list(PERIODS))
+    day, week, month = (_named(ranked, period) for period in PERIODS)
+    day = day.withColumnRenamed("units", "ordered_units")
+    values = [c for c in day.columns if c not in _ranks("day")]
     day = day.select(*(F.col(c).alias(f"_d_{c}") for c in values), *_ranks("day"))
     day = day.repartition("_d_city_name", "_d_item_id")
     rows = daily.repartition(*shared)
-    on = same(rows, day, ["report_date", "store_id", "ordered_units"], "_d_")
+    on = same(rows, day, [c for c in values if c not in shared], "_d_")
     for name in shared:
         on = on & (rows[name] == day[f"_d_{name}"])
-    ranked = rows.join(day, on, "left").select(*(rows[c] for c in daily.columns), *_ranks("day"))
-    key = [*PLACE, "item_id"]
-    joined = ranked.join(week_ranks.repartition(*shared), ["week_start", *key], "left").join(
-        month_ranks.repartition(*shared), ["month_start", *key], "left"
-    )
+    joined = rows.join(day, on, "left").select(*(rows[c] for c in daily.columns), *_ranks("day"))
+    for period, ranks in (("week", week), ("month", month)):
+        other = ranks.drop("units").repartition(*shared)
+        joined = joined.join(other, [PERIODS[period], *PLACE, "item_id"], "left")
     return conform(joined, "items_mart")

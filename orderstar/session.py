@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SHUFFLE_INPUT_BYTES = 128 * 1024 * 1024
 
@@ -16,13 +18,15 @@ SHUFFLE_INPUT_BYTES = 128 * 1024 * 1024
 # Results do not depend on the others. ``forceOptimizeSkewedJoin`` lets AQE split a hot join key even
 # when the aggregate above the join has to be shuffled again because of it. Without
 # ``requireAllClusterKeysForCoPartition`` joins whose keys contain the columns both sides are already
-# partitioned by need no further shuffle.
+# partitioned by need no further shuffle. ``maxShuffledHashJoinLocalMapThreshold`` lets a join whose
+# shuffled partitions all turn out smaller than that hash them instead of sorting both sides.
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -67,6 +71,12 @@ def shuffle_partitions(rows: DataFrame, at_most: int | None = None) -> int:
     return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
+def initial_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle of this session begins with."""
+    given = spark.conf.get(_INITIAL_PARTITIONS, None)
+    return int(given or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` where the session names one.
 
@@ -94,6 +104,19 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def few_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A frame of a few rows made by the driver, without a task in Python."""
+    given = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+    return spark.range(1, numPartitions=1).select(F.inline(given))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder on whatever file system it is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(hadoop) if f.isDirectory()]
+
+
 _scratch: list[str] = []
 
 

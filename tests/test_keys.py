@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from orderstar.operators import keys
 from orderstar.operators.keys import two_way_ranks, with_dense_key
+from orderstar.session import checkpointed
 
 
 def test_dense_key_is_the_position_in_byte_order(spark):
@@ -65,17 +66,55 @@ def test_ranks_from_both_ends_are_those_of_windows(spark):
     assert content(got) == content(wanted)
 
 
-def test_a_group_of_nearly_all_rows_is_in_no_single_task(spark):
+def test_groups_and_runs_over_any_cut_of_partitions(spark):
+    """Groups and runs that end with a partition, fill several, or share one."""
+    rng = random.Random(5)
+    values = [(rng.choice("abc"), rng.choice([None, 1, 1, 1, 2]), i) for i in range(60)]
+    schema = "place string, units bigint, item bigint"
+    off = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(off, "false")
+    try:
+        for parts in (1, 2, 3, 7, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            for some in (values, values[:5], [("a", None, i) for i in range(30)]):
+                frame = spark.createDataFrame(some, schema)
+                got = {r[2]: tuple(r[3:]) for r in two_way_ranks(frame, ["place"], "units", "item", "down", "up").collect()}
+                for place in {r[0] for r in some}:
+                    own = [r for r in some if r[0] == place]
+                    for n, r in enumerate(sorted(own, key=lambda r: (r[1] is not None, -(r[1] or 0), r[2])), 1):
+                        assert got[r[2]][0] == n
+                    for n, r in enumerate(sorted(own, key=lambda r: (r[1] is None, r[1] or 0, r[2])), 1):
+                        assert got[r[2]][1] == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset(off)
+
+
+def test_one_stored_table_serves_all_ranks(spark, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(keys, "checkpointed", lambda df: stored.append(df) or checkpointed(df))
+    frame = spark.createDataFrame([("a", 1, 2)], "place string, units bigint, item bigint")
+    assert two_way_ranks(frame, ["place"], "units", "item", "down", "up").count() == 1
+    assert len(stored) == 1
+
+
+def test_a_group_of_nearly_all_rows_is_in_no_single_task(spark, monkeypatch):
     off = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(off, "false")
     try:
         frame = spark.range(20_000).select(F.lit("g").alias("place"), (F.col("id") % 7).alias("u"), "id")
-        placed = keys._placed(frame, [F.col("place"), F.desc("u"), F.col("id")])
-        assert max(r["count"] for r in placed.groupBy("_part").count().collect()) < 8_000
-        # What joins per group also joins per partition, and ranks are whole.
-        shifts = keys._shifts(placed, ["place"])
-        assert shifts.count() == placed.select("_part").distinct().count() > 1
+        seen = []
+        monkeypatch.setattr(keys, "checkpointed", lambda df: seen.append(checkpointed(df)) or seen[-1])
+        edges = []
+        found = keys._edges
+        monkeypatch.setattr(keys, "_edges", lambda *given: edges.append(found(*given)) or edges[-1])
         ranked = two_way_ranks(frame, ["place"], "u", "id", "down", "up")
+        # Windows see a share of the group; one row per partition completes it.
+        parts = seen[0].groupBy("_part").agg(F.count("*"), F.min("_from_g"), F.max("_to_g")).collect()
+        assert len(parts) > 1 and max(r[1] for r in parts) < 8_000
+        assert all((0, r[1] - 1) == (r[2], r[3]) for r in parts)
+        assert edges[0].count() == len(parts)
+        assert {tuple(r) for r in edges[0].select("_first_g", "_head_g").collect()} == {(1, 20_000)}
         ends = ranked.agg(F.max("down"), F.max("up"), F.count_distinct("down"), F.count_distinct("up"))
         assert set(ends.first()) == {20_000}
     finally:

@@ -14,11 +14,12 @@ from orderstar.plans.refresh import (
     build_marts,
     load_staging,
     publish,
+    recorded_counts,
     refresh,
 )
 from orderstar.schemas import DIMENSIONS, FACTS, MARTS, TABLES
 from orderstar.session import work_folder
-from orderstar.sources.files import Warehouse
+from orderstar.sources.files import Warehouse, remove_old_versions
 
 from .helpers import spark_content, table
 
@@ -145,7 +146,7 @@ def test_a_version_is_complete_or_not_there(spark, small):
     build_core(spark, root)
     assert Warehouse.current(spark, root) is None
     build_marts(spark, root, [ORDERS_MART])
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(ValueError, match="version 1 of .* lacks items_daily_base, items_mart$"):
         publish(spark, root)
     build_marts(spark, root, [ITEMS_MART])
     assert publish(spark, root).version == Warehouse.current(spark, root).version == 1
@@ -156,6 +157,89 @@ def test_a_version_is_complete_or_not_there(spark, small):
         build_core(spark, f"{root}-other", previous=f"{root}-absent")
 
 
+def test_rows_are_counted_while_they_are_written(spark, built):
+    """Under every layout; the entries say what a count of the stored tables says."""
+    assert {t: rows for t, (rows, _) in built.entries.items()} == {t: built[t].count() for t in TABLES}
+    assert spark_content(recorded_counts(built)) == spark_content(audit(built))
+    plan = recorded_counts(built)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+
+
+def test_a_killed_write_is_not_published_and_taken_up_again(spark, small, monkeypatch):
+    """What a writer that died leaves behind is a folder without an entry."""
+    first, second, root = small
+    refresh(spark, first, root)
+    write = Warehouse.write
+
+    def killed(self, table, rows, **more):
+        if table == "items_mart":
+            (Path(self.path(table)) / "_temporary" / "0").mkdir(parents=True)
+            raise KeyboardInterrupt
+        write(self, table, rows, **more)
+
+    monkeypatch.setattr(Warehouse, "write", killed)
+    with pytest.raises(KeyboardInterrupt):
+        refresh(spark, second, root)
+    assert Warehouse.begun(spark, root)["items_mart"].isEmpty()  # an empty folder reads as an empty table
+    with pytest.raises(ValueError, match="lacks items_mart$"):
+        publish(spark, root)
+    assert Warehouse.current(spark, root).version == 1
+
+    written = []
+    monkeypatch.setattr(
+        Warehouse, "write", lambda self, table, rows, **more: (written.append(table), write(self, table, rows, **more))
+    )
+    later = refresh(spark, second, root, resume=True)
+    assert (later.version, written) == (2, ["items_mart"])
+    assert later["orders_mart"].count() == 1 and later["dim_user"].count() == 2
+
+
+def test_a_table_being_replaced_counts_as_missing(spark, small):
+    first, _, root = small
+    load_staging(spark, first, root)
+    build_core(spark, root)
+    target = Warehouse.begun(spark, root)
+    rows = table(spark, "fact_order", {"order_id": 1})
+    broken = rows.withColumn("order_id", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        target.write("fact_order", broken)
+    seen = Warehouse.begun(spark, root).entries
+    assert "fact_order" not in seen and "fact_order_item" in seen
+    build_core(spark, root, resume=True)
+    assert Warehouse.begun(spark, root).entries["fact_order"][0] == 1
+
+
+def test_only_the_same_input_is_taken_up_again(spark, small):
+    first, second, root = small
+    assert load_staging(spark, first, root).version == 1
+    assert load_staging(spark, first, root, resume=True).version == 1
+    assert load_staging(spark, second, root, resume=True).version == 2
+    assert refresh(spark, first, root, resume=True).version == 3
+    assert refresh(spark, first, root, resume=True).version == 4
+
+
+def test_old_versions_go_and_readers_of_the_current_one_go_on(spark, small):
+    first, second, root = small
+    assert remove_old_versions(spark, root, 1) == []
+    for raw in (first, second, first):
+        refresh(spark, raw, root)
+    load_staging(spark, first, root)  # fails later
+    refresh(spark, second, root)
+    load_staging(spark, first, root)  # being built
+    reader = Warehouse.current(spark, root)
+    orders = reader["orders_mart"]
+    with pytest.raises(ValueError, match="at least 1"):
+        remove_old_versions(spark, root, 0)
+    assert remove_old_versions(spark, root, 2) == [1, 2, 4]
+    main(["retain", root, "--keep", "1"])
+    assert sorted(p.name for p in Path(root).glob("v*")) == ["v000005", "v000006"]
+    assert orders.count() == 1 and reader.version == 5
+    build_core(spark, root)
+    build_marts(spark, root)
+    assert publish(spark, root).version == 6
+    assert remove_old_versions(spark, root, 9) == []
+
+
 def test_a_refresh_leaves_settings_and_working_folder_as_they_were(spark, small):
     def state():
         settings = {r.key: r.value for r in spark.sql("SET").collect()}
