@@ -149,10 +149,9 @@ def build_core(
             _require_none(quality.upsert_conflicts(staged), "conflicting rows for one id")
         _write_steps(spark, CORE_STEPS, write)
         if strict:
-            _require_none(quality.pk_duplicates(target), "duplicate keys")
-            nulls = quality.null_violations(target)
+            duplicates, nulls, orphans = quality.constraint_reports(target)
+            _require_none(duplicates, "duplicate keys")
             _require_none(nulls.filter("null_rows > 0"), "NULL in a NOT NULL column")
-            orphans = quality.fk_orphans(target)
             _require_none(orphans.filter("orphan_rows > 0"), "rows without a parent")
     return target
 
