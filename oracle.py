@@ -405,6 +405,18 @@ def statement(body: str, lines: str = TABLES["lines"]) -> str:
     return f"WITH {parts}\n{body.strip()}"
 
 
+# Which lines of a writer without types cannot be staged, per column and reason.
+_REJECTS = [
+    ("user_id", "out of range", "user_id % 113 = 5"),
+    ("created_at", "not a time", "order_id % 107 = 3"),
+    ("order_discount", "not a number", "order_id % 109 = 4"),
+    ("item_quantity", "not a number", "order_id % 101 = 1"),
+    ("item_quantity", "out of range", "order_id % 101 <> 1 AND order_id % 103 = 2"),
+    ("item_price", "not finite", "item_id % 97 = 1"),
+    ("item_price", "out of range", "item_id % 97 <> 1 AND item_id % 89 = 2"),
+    ("item_replaced_id", "wrong kind", "item_replaced_id IS NOT NULL"),
+]
+
 ORACLES = {
     "stage_delivery_raw": statement(TABLES["lines"]),
     "dim_user_upsert": statement(TABLES["dim_user"]),
@@ -438,4 +450,11 @@ ORACLES = {
         )
     ),
     **{name: statement(sql, _DIRTY_LINES) for name, sql in REPORTS.items()},
+    "dq_staging_rejects": statement(
+        _union(
+            f"SELECT '{column}' AS column_name, '{reason}' AS reason, COUNT(*) AS rejected_rows "
+            f"FROM lines WHERE {condition} HAVING COUNT(*) > 0"
+            for column, reason, condition in _REJECTS
+        )
+    ),
 }

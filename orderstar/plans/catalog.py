@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import dimensions, quality
 from ..operators.items_mart import items_month_rank, items_week_rank
 from ..operators.orders_mart import order_driver_stats, order_item_metrics
-from ..operators.staging import stage
+from ..operators.staging import reject_counts, stage
 from ..session import tune, work_folder
 from ..sources import samples
 from ..sources.files import Warehouse, read_order_lines
@@ -100,5 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_pk_duplicates": _dirty(quality.pk_duplicates),
     "dq_fk_orphans": _dirty(quality.fk_orphans),
     "dq_not_null": _dirty(quality.null_violations),
+    "dq_staging_rejects": _clean(
+        lambda t: reject_counts(
+            samples.mistyped_order_lines(read_order_lines(t.spark, t.raw_path()))
+        )
+    ),
     "dq_upsert_conflicts": _dirty(lambda t: quality.upsert_conflicts(t[STAGED])),
 }

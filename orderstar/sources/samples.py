@@ -147,6 +147,27 @@ def dirty_order_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumns(faults)
 
 
+def mistyped_order_lines(lines: DataFrame) -> DataFrame:
+    """The same lines from a writer without types: text, doubles, and values that do not fit."""
+    c = F.col
+    order, user, item = c("order_id"), c("user_id"), c("item_id")
+    faults = {
+        "user_id": F.when(user % 113 == 5, F.lit("100000000000000000000").cast("decimal(38,0)")).otherwise(
+            user.cast("decimal(38,0)")
+        ),
+        "created_at": F.when(order % 107 == 3, "yesterday").otherwise(c("created_at").cast("string")),
+        "order_discount": F.when(order % 109 == 4, "").otherwise(c("order_discount").cast("string")),
+        "item_quantity": F.when(order % 101 == 1, "many")
+        .when(order % 103 == 2, "99999999999")
+        .otherwise(c("item_quantity").cast("string")),
+        "item_price": F.when(item % 97 == 1, float("nan"))
+        .when(item % 89 == 2, 1e12)
+        .otherwise(c("item_price").cast("double")),
+        "item_replaced_id": c("item_replaced_id") > 0,
+    }
+    return lines.withColumns(faults)
+
+
 def existing_users(spark: SparkSession, folder: str) -> DataFrame:
     (customer,) = _tables(spark, folder, "customer")
     key = F.col("c_custkey")

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from orderstar.operators.staging import stage
+from orderstar.operators.staging import accepted, reject_counts, rejected, stage
 from orderstar.schemas import DELIVERY_RAW
 from orderstar.sources.files import read_order_lines
 
@@ -83,3 +83,64 @@ def test_folder_and_glob_read_the_same(spark, tmp_path):
     spark.range(10).select(F.col("id").alias("order_id")).repartition(3).write.parquet(folder)
     assert read_order_lines(spark, folder).count() == 10
     assert read_order_lines(spark, f"{folder}/*.parquet").count() == 10
+
+
+def reasons(raw):
+    return {(r.column_name, r.reason): r.rejected_rows for r in reject_counts(raw).collect()}
+
+
+def test_every_reason_is_found_and_the_strict_path_still_raises(spark):
+    raw = spark.createDataFrame(
+        [
+            ("12", "2024-01-02 03:04:05", 1.5, True, "a"),
+            (" 7.6 ", "2024-01-02", -0.0, None, None),
+            ("x", "soon", float("nan"), None, "b"),
+            ("99999999999", "", float("-inf"), None, "c"),
+            ("1e400", None, 1e9, False, "d"),
+            ("NaN", None, None, None, "e"),
+            (None, None, None, None, None),
+        ],
+        "item_quantity string, paid_at string, item_price double, store_id boolean, item_title string",
+    )
+    assert reasons(raw) == {
+        ("item_quantity", "not a number"): 1,
+        ("item_quantity", "out of range"): 1,
+        ("item_quantity", "not finite"): 2,
+        ("paid_at", "not a time"): 2,
+        ("item_price", "not finite"): 2,
+        ("item_price", "out of range"): 1,
+        ("store_id", "wrong kind"): 2,
+    }
+    kept = accepted(raw)
+    assert dict(kept.dtypes) == DELIVERY_RAW
+    assert [(r.item_quantity, r.paid_at, r.item_price) for r in kept.collect()] == [
+        (8, dt.datetime(2024, 1, 2), Decimal("0.00")),
+        (None, None, None),
+    ]
+    bad = rejected(raw).collect()
+    assert len(bad) == 5 and {r.item_title for r in bad} == {"a", "b", "c", "d", "e"}
+    assert bad[0].item_quantity == 12 and bad[0].rejects[0].column_name == "store_id"
+    with pytest.raises(TypeError, match="cannot be stored"):
+        stage(raw)
+    with pytest.raises(TypeError, match="item_quantity"):
+        stage(raw.select("item_quantity"))
+
+
+def test_lines_the_strict_path_takes_are_accepted_as_it_stages_them(spark):
+    raw = spark.sql(
+        "SELECT 12.6D AS driver_id, CAST(2.5 AS DECIMAL(4,1)) AS item_quantity, 7 AS user_id,"
+        " CAST(2.345 AS DECIMAL(10,3)) AS item_price, 0.125D AS delivery_cost, NULL AS item_id,"
+        " TIMESTAMP'2024-05-06 07:08:09' AS created_at, DATE'2024-05-06' AS paid_at, 'x' AS ITEM_TITLE"
+    )
+    assert accepted(raw).collect() == stage(raw).collect()
+    assert reasons(raw) == {} and rejected(raw).isEmpty()
+    with pytest.raises(ValueError, match="coupon"):
+        rejected(spark.createDataFrame([(1,)], "coupon int"))
+
+
+def test_rejects_shuffle_no_lines(spark):
+    raw = spark.range(50_000).selectExpr("'x' AS item_quantity", "id AS order_id")
+    counts = reject_counts(raw)
+    assert reasons(raw) == {("item_quantity", "not a number"): 50_000}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
