@@ -201,7 +201,7 @@ def remove_old_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
         kept.add(building.version)
     gone = []
     for name in sorted(folder_names(spark, root)):
-        if re.fullmatch(r"v\d{6,}", name) and int(name[1:]) not in kept:
+        if re.match(r"v\d{6,}\Z", name) and int(name[1:]) not in kept:
             remove_folder(spark, f"{root}/{name}")
             gone.append(int(name[1:]))
     return gone
