@@ -30,6 +30,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """A column name like the wanted one that none of ``names`` is."""
+    taken = {name.lower() for name in names}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this package where the driver found it.
 

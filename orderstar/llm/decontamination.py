@@ -169,9 +169,12 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with every hit word, and what separates it from the word before, taken out."""
-    joined = _joined(docs, findings(docs, benchmark, text, **options), text, "left")
-    separators = F.split(F.col(text), f"(?:(?!{_ANY_CASE})[\\s\\S])+", -1)
-    own = F.array_remove(F.split(F.col(text), _ANY_CASE, -1), "")
+    # The other columns go out of the way of those that are added here.
+    others = [c for c in docs.columns if c != text]
+    rows = docs.select(F.col(text).alias("text"), F.struct(*others, F.lit(0)).alias("others"))
+    joined = _joined(rows, findings(rows, benchmark, "text", **options), "text", "left")
+    separators = F.split(F.col("text"), f"(?:(?!{_ANY_CASE})[\\s\\S])+", -1)
+    own = F.array_remove(F.split(F.col("text"), _ANY_CASE, -1), "")
     gone = F.flatten(
         F.transform("_spans", lambda s: F.sequence(s["start"], s["end"] - 1))
     )
@@ -181,6 +184,10 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **optio
         F.transform(left, lambda i: F.concat(F.get("_between", i), F.get("_own", i))), ""
     )
     clean = F.concat(kept, F.get("_between", F.size("_own")))
-    return rows.withColumn(
-        text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(clean)
-    ).select(*docs.columns)
+    text_left = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean)
+    return rows.select(
+        *(
+            text_left.alias(c) if c == text else F.col("others").getField(c).alias(c)
+            for c in docs.columns
+        )
+    )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, importable, stored
+from .common import ascii_lower, importable, stored, unused
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -308,7 +308,7 @@ def rewrite(
     A NULL text stays NULL and counts as one empty line. Columns named n_lines and n_dropped are replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    doc, gone, raw = (_unused(docs.columns, name) for name in ("doc", "gone", "raw"))
+    doc, gone, raw = (unused(docs.columns, name) for name in ("doc", "gone", "raw"))
     renamed = lost.select(F.col("doc").alias(doc), F.col("lines").alias(gone))
     rows = docs.select(*(docs[c] for c in kept)).join(
         renamed, docs[key].eqNullSafe(renamed[doc]), "left"
@@ -344,13 +344,6 @@ def rewrite(
     return rows.mapInArrow(run, schema)
 
 
-def _unused(names: list[str], wanted: str) -> str:
-    taken = {name.lower() for name in names}
-    while wanted in taken:
-        wanted += "_"
-    return wanted
-
-
 def _lost_line(line: bytes, gone: set[bytes], min_chars: int) -> bool:
     own = _line_key(line)
     if len(own) < min_chars:  # fewer bytes than characters there must be

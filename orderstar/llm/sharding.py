@@ -95,11 +95,16 @@ def shard_rows(
     importable(rows.sparkSession)
     arcs = ring(shards, virtual_nodes)
     kept = [c for c in rows.columns if c not in ("shard", "slot")]
-    # The last column only lets equal rows lie in several range partitions.
+    by = {c: f"_by_{i}" for i, c in enumerate(order)}
+    # The given columns go out of the way of those that are added here; the last column only lets equal
+    # rows lie in several range partitions.
     placed = rows.select(
-        *kept, F.xxhash64(key).alias("_place"), F.monotonically_increasing_id().alias("_tie")
+        F.struct(*kept).alias("row"),
+        F.xxhash64(key).alias("_place"),
+        *(F.col(c).alias(name) for c, name in by.items()),
+        F.monotonically_increasing_id().alias("_tie"),
     )
-    ranked = with_dense_key(placed, "_rank", ["_place", *order, "_tie"])
+    ranked = with_dense_key(placed, "_rank", ["_place", *by.values(), "_tie"])
 
     ends = np.array([arc.end for arc in arcs])
 
@@ -131,4 +136,4 @@ def shard_rows(
         piece = np.searchsorted(first, position, side="right") - 1
         return pd.DataFrame({"shard": owner[piece], "slot": slot[piece] + position - first[piece]})
 
-    return ranked.withColumn("_to", assigned("_rank")).select(*kept, "_to.shard", "_to.slot")
+    return ranked.withColumn("_to", assigned("_rank")).select("row.*", "_to.shard", "_to.slot")

@@ -13,8 +13,9 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ascii_lower
+from .common import ascii_lower, unused
 
 SHINGLE = 5
 FRACTION_BITS = 2  # hashes below a quarter of the range are kept
@@ -75,9 +76,10 @@ def shown(one: Column) -> Column:
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "sketch") -> DataFrame:
     """Add the sketch of every row's text; a column of that name is replaced."""
     kept = [c for c in docs.columns if c != name]
-    rows = docs.select(*(docs[c] for c in kept), words(docs[text]).alias("_words"))
-    rows = rows.select(*kept, hashes(F.col("_words")).alias("_hashes"))
-    return rows.select(*kept, sketch(F.col("_hashes")).alias(name))
+    spelled, hashed = unused(kept, "words"), unused(kept, "hashes")
+    rows = docs.select(*(docs[c] for c in kept), words(docs[text]).alias(spelled))
+    rows = rows.select(*kept, hashes(F.col(spelled)).alias(hashed))
+    return rows.select(*kept, sketch(F.col(hashed)).alias(name))
 
 
 def with_next(
@@ -86,10 +88,14 @@ def with_next(
     """Rows dealt by descending key into buckets, and the window in which ``lead`` finds the next row.
 
     Adds ``_bucket`` and ``_guest``. The first rows of each bucket also visit the bucket before, the
-    very first rows the last bucket; after ``lead``, rows with ``_guest`` have to go. Keys are numbers,
-    NULL keys come last. Texts move in one shuffle only.
+    very first rows the last bucket; after ``lead``, rows with ``_guest`` have to go. Text keys are
+    ordered by their bytes, the first six of which decide the bucket; NULL keys come last. Texts move in
+    one shuffle only.
     """
     place = F.col("_key").cast("double")
+    if isinstance(docs.schema[key].dataType, T.StringType):
+        first = F.rpad(F.hex(F.substring(F.col("_key").cast("binary"), 1, 6)), 12, "0")
+        place = F.conv(first, 16, 10).cast("double")
     rows = docs.withColumn("_key", docs[key])
     count = docs.count()
     parts = min(MAX_BUCKETS, max(1, -(-count // bucket_rows)))
