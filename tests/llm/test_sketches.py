@@ -78,3 +78,24 @@ def test_sketches_merge_and_tell_containment(make):
     ).first()
     assert row["inside"] > 0.99 and row["apart"] == 0
     assert set(row["both"]["kept"]) == set(rows[2]["sketch"]["kept"]) | set(rows[3]["sketch"]["kept"])
+
+
+def printed(hashes):
+    signed = sorted(h - (1 << 64) if h >> 63 else h for h in set(hashes))
+    smallest = f"{signed[0] % (1 << 64):x}" if signed else ""
+    held = [h for h in signed if h in kept(hashes)]
+    return f"{smallest}:{','.join(f'{h:x}' for h in held)}"
+
+
+def test_printed_fingerprints_equal_brute_force(spark, sf_dir, texts):
+    rows = QUERIES["op9_fingerprints"](spark, sf_dir).collect()
+    own = dict(texts)
+    order = sorted(own, reverse=True)
+    after = dict(zip(order, order[1:] + order[:1]))
+    assert len(rows) == len(own)
+    for r in rows:
+        text, following = own[r["doc_id"]] or "", own[after[r["doc_id"]]] or ""
+        cut = len(text) // 3
+        edited = text[: len(text) - cut] + following[:cut]
+        assert r["fingerprint"] == printed(brute.shingle_hashes(text)).lower()
+        assert r["edited_fingerprint"] == printed(brute.shingle_hashes(edited)).lower()
