@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_folder
+from ..session import remove_folder, scratch, work_folder
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -19,13 +21,30 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
+_folders: list[str] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[str]:
+    """Everything operators store inside the block is deleted at its end, also when it fails."""
+    path = f"{work_folder(spark)}/llm/{uuid.uuid4().hex}"
+    _folders.append(path)
+    try:
+        with scratch(spark):
+            yield path
+    finally:
+        _folders.remove(path)
+        remove_folder(spark, path)
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: lineage ends here, executors may go.
 
-    The files stay until ``session.work_folder`` is deleted.
+    Outside ``intermediates`` the files stay until ``session.work_folder`` is deleted.
     """
     spark = rows.sparkSession
-    path = f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    folder = _folders[-1] if _folders else f"{work_folder(spark)}/llm"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

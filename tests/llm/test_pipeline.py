@@ -1,10 +1,13 @@
 import inspect
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from orderstar.llm import language
-from orderstar.llm.common import tokenizer_path
+from orderstar.llm.common import intermediates, stored, tokenizer_path
+from orderstar.session import work_folder
 
 from . import brute
 from .test_packing import check
@@ -42,11 +45,52 @@ def test_stages_over_a_small_folder(spark, sf_dir, docs, texts):
     assert after.columns == docs.columns and collected(after) == rows
 
     check(packed(spark, after, sf_dir).collect(), rows)
-    pieces = corpus_pipeline.run(spark, sf_dir).collect()
-    check(pieces, rows)
+    work = Path(work_folder(spark))
+    before = set(work.rglob("*.parquet"))
+    pieces = corpus_pipeline.run(spark, sf_dir)
+    check(pieces.collect(), rows)
+    # Only the last stage is left of the run.
+    assert {p.parent for p in set(work.rglob("*.parquet")) - before} == {
+        Path(pieces.inputFiles()[0].removeprefix("file:")).parent
+    }
     assert tokenizer_path("byte_bpe_50k.json")
 
 
+def test_a_run_that_was_broken_off_goes_on(spark, sf_dir, tmp_path, monkeypatch):
+    folder, seen = str(tmp_path / "stages"), []
+
+    def named(name, fails=False):
+        def stage(spark, docs, sf_dir):
+            seen.append((name, docs.count()))
+            if fails:
+                raise OSError("lost")
+            return docs.filter("doc_id % 2 = 0" if name == "a" else "true")
+
+        return name, stage
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [named("a"), named("b"), named("c", fails=True)])
+    with pytest.raises(OSError, match="lost"):
+        corpus_pipeline.run(spark, sf_dir, folder)
+    # A stage without its mark is not whole.
+    (tmp_path / "stages" / "2-b" / "_SUCCESS").unlink()
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [named("a"), named("b"), named("c")])
+    first = len(seen)
+    left = corpus_pipeline.run(spark, sf_dir, folder)
+    assert [name for name, _ in seen[first:]] == ["b", "c"]
+    assert left.count() == seen[-1][1] == seen[1][1] < seen[0][1]
+    assert sorted(p.name for p in (tmp_path / "stages").iterdir()) == ["1-a", "2-b", "3-c"]
+
+
+def test_intermediates_go_also_when_a_stage_fails(spark):
+    with pytest.raises(ZeroDivisionError), intermediates(spark) as folder:
+        assert stored(spark.range(5), "some").count() == 5
+        assert Path(folder.removeprefix("file:")).exists()
+        raise ZeroDivisionError
+    assert not Path(folder.removeprefix("file:")).exists()
+    kept = stored(spark.range(5), "some")
+    assert kept.count() == 5
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark, sf_dir, odd, empty):
     for _, stage in corpus_pipeline.STAGES:
         assert list(inspect.signature(stage).parameters) == ["spark", "docs", "sf_dir"]
