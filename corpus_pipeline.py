@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderstar.llm import decontamination, language, lines, packing, simhash
-from orderstar.llm.common import documents, stored, tokenizer_path
+from orderstar.llm.common import documents, intermediates, tokenizer_path
 from orderstar.llm.queries import TOKENIZER
+from orderstar.session import remove_folder, work_folder
 
 
 def _wrapped(docs: DataFrame) -> DataFrame:
@@ -66,9 +69,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stored and read again before the next."""
-    docs = documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a writer finished here."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages over ``documents``, each stored and read again before the next.
+
+    What operators store on the way goes with their stage. With ``folder`` (on storage all executors
+    share) the stages lie there, stay, and are not repeated where they are complete, so a run that was
+    broken off goes on; the folder belongs to one input. Without it a stage goes once the next is stored.
+    """
+    stages = folder or f"{work_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = documents(spark, sf_dir), None
+    for number, (name, stage) in enumerate(STAGES, 1):
+        path = f"{stages.rstrip('/')}/{number}-{name}"
+        if not _complete(spark, path):
+            with intermediates(spark):
+                made = stage(spark, docs, sf_dir)
+                made.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+        if before and not folder:
+            remove_folder(spark, before)
+        before = path
     return docs
