@@ -54,7 +54,8 @@ OP4 = f"""
 WITH conv AS (
   SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
                        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
-  FROM conversations GROUP BY conv_id),
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations)
+  GROUP BY conv_id, alone),
 answered AS (
   SELECT conv_id, t,
          coalesce(list_max([i for i in range(1, len(t) + 1) if t[i].role = 'assistant']), 0) AS last

@@ -19,16 +19,20 @@ def conversations(
     """(key, turns) with the turns of each conversation as an array of (role, text) in order.
 
     Turns that share a number are ordered by role and text and stay repeated; a NULL role or text
-    becomes ''; rows with a NULL key are one conversation; NULL turn numbers come first.
+    becomes ''; NULL turn numbers come first. Turns without a key do not belong together: each is a
+    conversation of its own, however many there are. Texts are taken whole, other columns may have any
+    name, and an empty table has no conversation.
     """
     one = F.struct(
         F.col(turn).alias("turn"),
         F.coalesce(role, F.lit("")).alias("role"),
         F.coalesce(text, F.lit("")).alias("text"),
     )
-    gathered = turns.groupBy(F.col(key).alias(key)).agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    rows = turns.select(F.col(key).alias("key"), alone.alias("alone"), one.alias("turn"))
+    gathered = rows.groupBy("key", "alone").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
     plain = F.transform("turns", lambda t: F.struct(t["role"], t["text"]))
-    return gathered.select(key, plain.alias("turns"))
+    return gathered.select(F.col("key").alias(key), plain.alias("turns"))
 
 
 def with_alternative_answer(convs: DataFrame, key: str = "conv_id") -> DataFrame:

@@ -22,8 +22,9 @@ def rendered(*turns):
 
 def test_pairs(turns):
     pairs = pref.with_alternative_answer(pref.conversations(turns))
-    rows = {r["conv_id"]: r for r in pref.format_pairs(pairs, "conv_id").collect()}
-    assert len(rows) == 6
+    found = pref.format_pairs(pairs, "conv_id").collect()
+    rows = {r["conv_id"]: r for r in found}
+    assert len(rows) == 6 and len(found) == 7  # turns without a key stand alone
     two = rows[2]
     assert two["n_prompt_turns"] == 3
     assert two["prompt"] == rendered(("user", "hi"), ("assistant", "hello"), ("user", "more"))
@@ -35,7 +36,7 @@ def test_pairs(turns):
     assert rows[4]["rejected"] == "" and rows[4]["rejected_mask"] == []
     assert rows[6]["chosen"] == rows[6]["rejected"] == "" and rows[6]["n_prompt_turns"] == 1
     assert rows[7]["chosen"] == rendered(("assistant", "first"), ("", ""))
-    assert rows[None]["prompt"] == rendered(("user", "no key"), ("user", "no key"))
+    assert rows[None]["prompt"] == rendered(("user", "no key"))
 
 
 def test_given_pairs_with_long_and_missing_sides(spark):
@@ -54,3 +55,18 @@ def test_given_pairs_with_long_and_missing_sides(spark):
 def test_empty(turns):
     pairs = pref.with_alternative_answer(pref.conversations(turns.filter("false")))
     assert pref.format_pairs(pairs, "conv_id").count() == 0
+
+
+def test_long_texts_other_names_and_many_turns_without_a_key(spark):
+    names = ["key", "alone", "turns", "_of", "_answer", "last", "chosen", "rejected", "prompt"]
+    long = "word " * 100_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), (None, 0, "assistant", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = turns.unionByName(spark.range(2000).selectExpr("NULL AS conv_id", "id AS turn", "'user' AS role", "'t' AS text"))
+    for name in names:
+        turns = turns.withColumn(name, pref.F.lit("x"))
+    convs = pref.conversations(turns)
+    assert convs.count() == 2002 and convs.filter("size(turns) > 1").count() == 1
+    done = pref.format_pairs(pref.with_alternative_answer(convs), "conv_id").filter("conv_id = 1").first()
+    assert done["prompt"] == rendered(("user", long)) and done["chosen"] == rendered(("assistant", long))
+    assert done["rejected"] == ""
