@@ -15,7 +15,7 @@ from ..operators import dimensions, quality
 from ..operators.items_mart import items_month_rank, items_week_rank
 from ..operators.orders_mart import order_driver_stats, order_item_metrics
 from ..operators.staging import reject_counts, stage
-from ..session import tune, work_folder
+from ..session import shuffle_partitions, tune, work_folder
 from ..sources import samples
 from ..sources.files import Warehouse, read_order_lines
 from .refresh import BUILD, STAGED, audit
@@ -68,7 +68,7 @@ _layers: dict[tuple, Layers] = {}
 def layers(spark: SparkSession, folder: str, dirty: bool = False) -> Layers:
     key = (spark.sparkContext.applicationId, str(folder).rstrip("/"), dirty)
     if key not in _layers:
-        tune(spark)
+        tune(spark, shuffle_partitions(spark.read.parquet(f"{key[1]}/lineitem.parquet")))
         _layers[key] = Layers(spark, key[1], dirty)
     return _layers[key]
 

@@ -57,3 +57,15 @@ def test_scratch_leaves_nothing_also_after_a_failure(spark):
         session.checkpointed(spark.range(3))
         raise ZeroDivisionError
     assert not Path(folder).exists()
+
+
+def test_tuned_shuffles_never_begin_with_fewer_partitions(spark):
+    names = [*session.SETTINGS, session._INITIAL_PARTITIONS]
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        own = session.initial_partitions(spark)
+        for wanted, found in ((None, own), (own - 1, own), (own + 70, own + 70), (own + 5, own + 70)):
+            assert session.initial_partitions(session.tune(spark, wanted)) == found
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
