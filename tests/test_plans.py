@@ -6,10 +6,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from orderstar import session
 from orderstar.operators.facts import fact_order
 from orderstar.operators.items_mart import items_daily_base
 from orderstar.operators.orders_mart import placed_order
+from orderstar.plans import catalog
 from orderstar.plans.catalog import QUERIES, layers
+from orderstar.sources import samples
 
 from .helpers import table
 
@@ -182,3 +185,28 @@ def test_mart_files_stay_balanced_per_date(spark, sf_dir):
 
 def test_small_frames_have_declared_types(spark):
     assert table(spark, "dim_city", {"city_id": 1}).dtypes == [("city_id", "bigint"), ("city_name", "string")]
+
+
+def test_order_lines_meet_their_order_last(spark, sf_dir):
+    """Lines are shuffled for their part and for their order, not again for the customer."""
+    with settings(spark, NO_BROADCAST):
+        plan = plan_of(samples.order_lines(spark, sf_dir))
+    by = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(by) == sorted(
+        ["l_partkey", "p_partkey", "l_orderkey", "o_orderkey", "o_custkey", "c_custkey"]
+        + ["c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey"]
+    )
+    assert plan.index("SortMergeJoin [l_orderkey") < plan.index("SortMergeJoin [l_partkey")
+
+
+def test_queries_begin_with_partitions_for_their_input(spark, sf_dir, monkeypatch):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 5000)
+    monkeypatch.setattr(catalog, "_layers", {})
+    before = spark.conf.get(name, None)
+    try:
+        catalog.layers(spark, sf_dir)
+        wanted = session.shuffle_partitions(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+        assert wanted > 10 and spark.conf.get(name) == str(wanted)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
