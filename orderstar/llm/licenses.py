@@ -3,9 +3,9 @@
 The words of a text, whatever lines they stand on, are seen through overlapping windows of equal
 length. A window is described by how often each word pair and triple of the templates occurs in it. A
 multinomial logistic regression over these sparse counts tells licence families from ``unknown``. It is
-trained on the template sentences, alone and joined, and on a bounded sample of corpus lines that share
-no word triple with any template. A second sample sets the probability from which a family is believed;
-a window can make several believed. A believed family is confirmed if enough of one of its templates
+trained on the template sentences, alone and joined, and on half of all distinct corpus lines that share
+no word triple with any template. The other half, all of it, sets the probability from which a family is
+believed; a window can make several believed. A believed family is confirmed if enough of one of its templates
 stands in a window of the text.
 
 Scoring uses joins only: places of words are looked up in the broadcast weight table (as large as
@@ -26,7 +26,6 @@ from .common import ascii_lower, stored
 from .decontamination import text_digest
 
 UNKNOWN = "unknown"
-NEGATIVE_LINES = 2_000  # corpus lines sampled for training, and again for calibration
 MARGIN = 0.05
 COVERED = 0.6  # part of a template's word triples that has to stand in a window
 STEP = 32  # words from window to window, two steps long; at least the longest template's
@@ -181,31 +180,63 @@ def _template_rows(spark: SparkSession, templates: dict[str, list[str]]) -> Data
     return spark.createDataFrame(rows, "family string, paragraph string, own boolean")
 
 
-def _sampled(docs: DataFrame, text: str, known: DataFrame) -> DataFrame:
-    """(paragraph, half): lines with the smallest hashes that share no triple with a template."""
-    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("paragraph")).select(
-        F.xxhash64("paragraph").alias("hash"), F.left("paragraph", F.lit(2_000)).alias("paragraph")
-    )
-    # Hashes alone are made distinct and ranked; the lines of the chosen ones are read again.
-    hashes = lines.filter("length(paragraph) > 0").select("hash").distinct()
-    chosen = hashes.orderBy("hash").limit(2 * NEGATIVE_LINES)
-    chosen = stored(chosen, "licence-sample")
-    picked = lines.join(F.broadcast(chosen), "hash").distinct()  # 2 x NEGATIVE_LINES at most
-    fixed = stored(picked, "licence-negatives")
-    hit = (
-        _grams(fixed.select("paragraph", words(F.col("paragraph")).alias("words")), (3,))
+def _plain_lines(docs: DataFrame, text: str, known: DataFrame, step: int) -> tuple[DataFrame, int]:
+    """Distinct lines of all texts that share no triple with a template, for training and calibration.
+
+    Rows (hash, half, n_windows, grams) of those with an n-gram of ``known`` (gram, size, tells: whether
+    it is a template's triple), each n-gram with its place; and how many windows the other lines of
+    half 0 have. Only hashes and places of known n-grams are shuffled, never a line.
+    """
+    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("paragraph"))
+    own = F.xxhash64("paragraph").alias("hash")
+    lines = lines.filter("length(paragraph) > 0").select(own, words(F.col("paragraph")).alias("words"))
+    n_windows = F.greatest(F.ceil(F.size("words") / (2 * step)), F.lit(1))
+    lines = lines.withColumn("n_windows", n_windows.cast("int"))
+    half = F.pmod("hash", F.lit(2)).alias("half")
+    total = lines.select("hash", "n_windows").distinct().filter(half == 0).agg(F.sum("n_windows"))
+    one = F.struct("at", "size", "gram")
+    found = (
+        _grams(lines.select("hash", "n_windows", "words"), (2, 3))
         .join(F.broadcast(known), "gram")  # as large as the templates
-        .select("paragraph")
+        .groupBy("hash", "n_windows")
+        .agg(F.collect_set(one).alias("grams"), F.max("tells").alias("tells"))  # those of one line
+        .select("hash", half, "n_windows", "tells", F.array_sort("grams").alias("grams"))
     )
-    return fixed.join(hit, "paragraph", "left_anti").select(
-        "paragraph", (F.pmod("hash", F.lit(2))).alias("half")
+    found = stored(found, "licence-lines")
+    seen = found.filter("half = 0").agg(F.sum("n_windows")).first()[0] or 0
+    return found.filter("NOT tells").drop("tells"), (total.first()[0] or 0) - seen
+
+
+def _unlike(plain: DataFrame, others: int, step: int) -> DataFrame:
+    """(grams, n): the n-grams that windows of half 0 hold, and how many windows hold just these."""
+    width = 2 * step
+    plain = plain.filter("half = 0")
+    held = (
+        plain.select("hash", F.explode("grams").alias("one"))
+        .select("hash", "one.*", F.floor(F.col("one.at") / width).alias("window"))
+        .filter(F.col("at") % width + F.col("size") <= width)  # not cut by the end of the window
+        .groupBy("hash", "window")
+        .agg(F.array_sort(F.collect_list(F.col("gram").cast("string"))).alias("grams"))
+        .groupBy("grams")
+        .agg(F.count("*").alias("n"))
     )
+    held = stored(held, "licence-unlike")
+    windows = plain.agg(F.sum("n_windows")).first()[0] or 0
+    empty = others + windows - (held.agg(F.sum("n")).first()[0] or 0)
+    nothing = held.sparkSession.range(1, numPartitions=1).select(
+        F.array().cast("array<string>").alias("grams"), F.lit(empty + 1).cast("bigint").alias("n")
+    )  # one more, so that there is an unknown class even without documents
+    return held.unionByName(nothing)
 
 
 def fit(
     docs: DataFrame, text: str = "text", templates: dict[str, list[str]] | None = None
 ) -> LicenceModel:
-    """Train on template sentences and on up to ``NEGATIVE_LINES`` corpus lines; calibrate on as many."""
+    """Train on template sentences and on one half of all distinct corpus lines; calibrate on the other.
+
+    Windows that hold the same n-grams are one weighted example, so there are as many as the templates'
+    n-grams occur together in different ways.
+    """
     templates = TEMPLATES if templates is None else templates
     spark = docs.sparkSession
     families = sorted(templates)
@@ -221,34 +252,36 @@ def fit(
     step = max(STEP, longest or 0)
     sizes = triples.groupBy("paragraph").agg(F.count("*").alias("size"))
     triples = triples.join(sizes, "paragraph").withColumnRenamed("paragraph", "template")
-    negatives = _sampled(docs, text, triples.select("gram").distinct())
     numbers = F.create_map(*(F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))))
-    # One empty paragraph, so that there is an unknown class even without documents.
-    columns = "family string, paragraph string, words array<string>"
-    nothing = spark.createDataFrame([(UNKNOWN, "", [])], columns)
-    begins = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(2 * step))
-    seen = F.explode(F.transform(begins, lambda i: F.slice("words", i + 1, 2 * step)))
-    unknown = (
-        negatives.filter("half = 0")
-        .select(words(F.col("paragraph")).alias("words"))
-        .select(seen.alias("words"))
-        .select(F.lit(UNKNOWN).alias("family"), F.array_join("words", " ").alias("paragraph"), "words")
-        .distinct()
+    labelled = given.withColumn("label", numbers[F.col("family")])
+    sentences = _grams(labelled.select("label", "paragraph", "words"), (2, 3)).filter("gram IS NOT NULL")
+    pairs = _grams(given.select("words"), (2,)).filter("gram IS NOT NULL").select("gram").distinct()
+    known = (
+        pairs.select("gram", F.lit(2).alias("size"))
+        .unionByName(
+            _grams(given.select("words"), (3,))
+            .filter("gram IS NOT NULL")
+            .select("gram", F.lit(3).alias("size"))
+            .distinct()
+        )
+        .join(triples.select("gram", F.lit(True).alias("tells")).distinct(), "gram", "left")
+        .withColumn("tells", F.coalesce("tells", F.lit(False)))
     )
-    examples = given.drop("own").unionByName(nothing).unionByName(unknown)
-    counted = examples.withColumn("label", numbers[F.col("family")])
+    plain, others = _plain_lines(docs, text, known, step)
     grams = (
-        _grams(counted.select("label", "paragraph", "words"), (2, 3))
-        .groupBy("label", "paragraph")
+        sentences.groupBy("label", "paragraph")
         .agg(F.collect_list(F.col("gram").cast("string")).alias("grams"))
+        .select("label", "grams", F.lit(1).cast("bigint").alias("n"))
     )
+    unlike = _unlike(plain, others, step)
+    grams = grams.unionByName(unlike.select(numbers[F.lit(UNKNOWN)].alias("label"), "grams", "n"))
     grams = stored(grams, "licence-examples")
     vectors = CountVectorizer(inputCol="grams", outputCol="features").fit(
         grams.filter(F.col("label") < len(families))
     )
     model = LogisticRegression(
         family="multinomial", regParam=1e-4, maxIter=60, standardization=False, weightCol="weight"
-    ).fit(_balanced(vectors.transform(grams)).coalesce(1))  # a bounded sample, read once per step
+    ).fit(_balanced(vectors.transform(grams)))
     matrix = model.coefficientMatrix.toArray().T.tolist()  # grams of the templates x families
     names = ", ".join(f"w{i} double" for i in range(len(classes)))
     weights = spark.createDataFrame(
@@ -257,21 +290,18 @@ def fit(
     found = LicenceModel(
         families, weights, model.interceptVector.toArray().tolist(), 0.5, triples, step, templates
     )
-    quiet = negatives.filter("half = 1").select(
-        F.monotonically_increasing_id().alias("row"),
-        F.lit(b"").alias("digest"),
-        words(F.col("paragraph")).alias("words"),
-    )
-    highest = predictions(quiet, found).agg(F.max("probability"))
+    quiet = plain.filter("half = 1").select("hash", F.explode("grams").alias("one"))
+    quiet = quiet.select("hash", "one.at", "one.gram")
+    highest = _spoken_for(quiet, ["hash"], found, 0.5).agg(F.max("probability"))
     found.believed = max(0.5, min(0.99, (highest.first()[0] or 0.0) + MARGIN))
     return found
 
 
 def _balanced(rows: DataFrame) -> DataFrame:
-    """Weights that make every class count alike, however many examples it has."""
-    sizes = rows.groupBy("label").agg(F.count("*").alias("size"))
+    """Weights that make every class count alike, however many examples (``n`` a row) it has."""
+    sizes = rows.groupBy("label").agg(F.sum("n").alias("size"))
     return rows.join(F.broadcast(sizes), "label").select(  # one row per class
-        "label", "features", (100.0 / F.col("size")).alias("weight")
+        "label", "features", (100.0 * F.col("n") / F.col("size")).alias("weight")
     )
 
 
@@ -282,11 +312,16 @@ def predictions(rows: DataFrame, model: LicenceModel, least: float = 0.5) -> Dat
     window do not lower each other; those under ``least`` are left out. ``won`` is true for the family
     that leads all others in the window.
     """
-    key = ["row", "digest", "window"]
+    grams = _grams(rows.select("row", "digest", "words"), (2, 3))
+    return _spoken_for(grams, ["row", "digest"], model, least)
+
+
+def _spoken_for(grams: DataFrame, text: list[str], model: LicenceModel, least: float) -> DataFrame:
+    """``predictions`` of texts, named by some columns, whose n-grams and their places are given."""
+    key = [*text, "window"]
     count = len(model.families) + 1  # the last is unknown
     scored = (
-        _grams(rows.select("row", "digest", "words"), (2, 3))
-        .join(F.broadcast(model.weights), "gram")  # as large as the templates
+        grams.join(F.broadcast(model.weights), "gram")  # as large as the templates
         .withColumn("window", _windows(F.col("at"), model.step))
         .groupBy(*key)
         .agg(*((F.sum(f"w{i}") + b).alias(f"w{i}") for i, b in zip(range(count), model.intercepts)))

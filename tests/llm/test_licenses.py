@@ -107,3 +107,29 @@ def test_licences_in_long_texts_without_line_breaks(make, model, texts):
     assert {i: found[i] for i in range(len(ask))} == {i: [f] for i, (_, f, _) in enumerate(ask)}
     assert found[len(ask)] == found[len(ask) + 1] == []
     assert found[len(ask) + 2] == sorted(licenses.TEMPLATES)
+
+
+@pytest.mark.parametrize("before", ["", "word " * 600])
+def test_every_line_counts_for_the_threshold(make, before):
+    """One line among thousands sets it, whatever its hash, and whatever stands before it."""
+    plain = [(i, f"line number {i}\nother {i}") for i in range(4000)]
+    templates = {"MIT": ["Released under the MIT License"], "BSD": ["Released under the BSD License"]}
+    near = " ".join(["x the MIT y MIT license z released under no terms"] * 6)
+    close = [f"{before}case {i} {near}" for i in range(400)]
+    lines = make(*enumerate(close)).withColumn("hash", licenses.F.xxhash64("text"))
+    last = lines.filter("pmod(hash, 2) = 1").orderBy(licenses.F.desc("hash")).first()["text"]
+    quiet = licenses.fit(make(*plain), templates=templates).believed
+    assert licenses.fit(make(*plain, (9000, last)), templates=templates).believed > quiet
+
+
+def test_windows_of_all_lines_are_counted(make):
+    rows = [(i, f"line {i % 700}\n\nof the {i % 600}") for i in range(5000)] + [(None, None), (7, "w " * 100)]
+    columns = {c: licenses.F.lit(v) for c, v in (("size", 2), ("tells", False))}
+    words = licenses.F.xxhash64(licenses.F.lit("of"), licenses.F.lit("the")).alias("gram")
+    known = make((1, "")).select(words).withColumns(columns)
+    plain, others = licenses._plain_lines(make(*rows), "text", known, 32)
+    halves = licenses.F.pmod(licenses.F.xxhash64("text"), licenses.F.lit(2)) == 0
+    lines = [f"line {i}" for i in range(700)] + [f"of the {i}" for i in range(600)] + ["w " * 100]
+    wanted = sum(2 if r["text"][0] == "w" else 1 for r in make(*enumerate(lines)).filter(halves).collect())
+    found = {tuple(r["grams"]): r["n"] for r in licenses._unlike(plain, others, 32).collect()}
+    assert plain.count() == 600 and sum(found.values()) == wanted + 1 and len(found) == 2
