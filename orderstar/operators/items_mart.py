@@ -9,11 +9,23 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import calendar, discounted_sum, same
 from ..schemas import conform
-from ..session import initial_partitions
+from ..session import gathered, initial_partitions
 from .keys import two_way_ranks
 
 PLACE = ["city_name", "store_id"]
 
+#: An item in more than this share of the lines is dealt over so many partitions, by day and place.
+_HOT_SHARE, _DEALS = 0.001, 64
+
+
+def hot_items(order_items: DataFrame) -> DataFrame:
+    """Items in more than ``_HOT_SHARE`` of the lines, ``hot`` being true. At most 1 / ``_HOT_SHARE`` rows.
+
+    Frequent items are counted in bounded memory; a few others may be among them, none is missing.
+    """
+    found = order_items.stat.freqItems(["item_id"], _HOT_SHARE)
+    return found.select(F.explode("item_id_freqItems").alias("item_id"), F.lit(True).alias("hot"))
+
 
 def items_daily_base(
     order_items: DataFrame,
@@ -25,8 +37,9 @@ def items_daily_base(
     """Sales per day, delivery city, store and item; ``placed`` are the orders with their place.
 
     Lines are folded per (order, item) on the partitioning the order join already has; after that
-    an order is one row per item and order counts are plain counts. Item, category and city names
-    join the folded rows, not the lines.
+    an order is one row per item and order counts are plain counts. The folded rows are then shuffled
+    once, by item, for their sums and for the names; an item found in very many lines is dealt over
+    several partitions. Rows are returned by item and place, which keeps stored and shuffled rows small.
     """
     orders = placed.select("order_id", "report_date", "city_id", "store_id")
     per_order = (
@@ -39,25 +52,41 @@ def items_daily_base(
             F.max("canceled_quantity").alias("most_canceled"),
         )
     )
-    per_day = per_order.groupBy("report_date", "city_id", "store_id", "item_id").agg(
+    titles = items.join(categories, "category_id").select(
+        "item_id", "item_title", "category_name"
+    )
+    place = ["report_date", "city_id", "store_id"]
+    hot = F.broadcast(hot_items(order_items))
+    deal = F.when(
+        F.col("hot"), F.pmod(F.xxhash64(*place), F.lit(_DEALS)).cast("int")
+    ).otherwise(0)
+    sold = per_order.join(hot, "item_id", "left").withColumn("deal", deal).drop("hot", "order_id")
+    dealt = gathered(sold, *place).repartition("item_id", "deal")
+    per_day = dealt.groupBy("item_id", "deal", *place).agg(
         F.sum("gmv").alias("item_gmv"),
         F.sum("ordered").alias("ordered_units"),
         F.sum("canceled").alias("canceled_units"),
         F.count("*").alias("orders_with_item_cnt"),
         F.count_if(F.col("most_canceled") > 0).alias("orders_with_item_cancellation_cnt"),
     )
-    titles = items.join(categories, "category_id").select(
-        "item_id", "item_title", "category_name"
+    deals = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(_DEALS - 1))).otherwise(F.array(F.lit(0)))
+    titles = titles.join(hot, "item_id", "left").select(*titles.columns, F.explode(deals).alias("deal"))
+    named = (
+        per_day.join(titles, ["item_id", "deal"])
+        .drop("deal")
+        .join(cities, "city_id")
+        .sortWithinPartitions("item_id", "city_id", "store_id", "report_date")
     )
-    named = per_day.join(titles, "item_id").join(cities, "city_id")
-    return conform(
-        named.select(
-            *calendar("report_date"),
-            F.trunc("report_date", "week").alias("week_start"),
-            F.trunc("report_date", "month").alias("month_start"),
-            *(c for c in named.columns if c not in ("report_date", "city_id")),
-        ),
-        "items_daily_base",
+    return conform(_dated(named), "items_daily_base")
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    """Rows with all that follows from their ``report_date``."""
+    return rows.select(
+        *calendar("report_date"),
+        F.trunc("report_date", "week").alias("week_start"),
+        F.trunc("report_date", "month").alias("month_start"),
+        *(c for c in rows.columns if c != "report_date"),
     )
 
 

@@ -15,9 +15,9 @@ from ..operators import dimensions, quality
 from ..operators.items_mart import items_month_rank, items_week_rank
 from ..operators.orders_mart import order_driver_stats, order_item_metrics
 from ..operators.staging import reject_counts, stage
-from ..session import shuffle_partitions, tune, work_folder
+from ..session import freed_shuffles, shuffle_partitions, tune, work_folder
 from ..sources import samples
-from ..sources.files import Warehouse, read_order_lines
+from ..sources.files import Warehouse, line_writer, read_order_lines
 from .refresh import BUILD, STAGED, audit
 
 
@@ -37,7 +37,8 @@ class Layers:
             lines = samples.order_lines(self.spark, self.folder)
             if self.dirty:
                 lines = samples.dirty_order_lines(lines)
-            lines.write.mode("overwrite").parquet(path)
+            with freed_shuffles(self.spark):
+                line_writer(lines).parquet(path)
             self.built.add("raw")
         return path
 
@@ -57,7 +58,8 @@ class Layers:
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self.built:
-            self.store.write(table, self.rows(table))
+            with freed_shuffles(self.spark):
+                self.store.write(table, self.rows(table))
             self.built.add(table)
         return self.store[table]
 

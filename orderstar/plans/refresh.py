@@ -13,7 +13,7 @@ from ..operators.items_mart import items_daily_base, items_mart
 from ..operators.orders_mart import orders_mart, placed_order
 from ..operators.staging import stage
 from ..schemas import FACTS
-from ..session import scratch, shuffle_partitions, tuned
+from ..session import freed_shuffles, scratch, shuffle_partitions, tuned
 from ..sources.files import Warehouse, read_order_lines
 
 STAGED = "delivery_raw"
@@ -90,7 +90,7 @@ def _write_steps(
         for table in chain:
             write(table)
 
-    with ThreadPoolExecutor() as pool:
+    with freed_shuffles(spark), ThreadPoolExecutor() as pool:
         for step in steps:
             list(pool.map(write_chain, step))
 

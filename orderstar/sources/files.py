@@ -9,11 +9,11 @@ from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import DIMENSIONS, FACTS, MARTS, TABLES, conform, ddl
-from ..session import few_rows, folder_names, remove_folder
+from ..session import few_rows, folder_names, freed_shuffles, remove_folder
 
 LAYERS = {
     "delivery_raw": "staging",
@@ -23,6 +23,14 @@ LAYERS = {
     **dict.fromkeys(MARTS, "mart"),
 }
 
+# What the lines of an order share. Lines lie by order, so that zstd stores each of these values once, if no
+# dictionary hides the repeats from it.
+_SHARED = [
+    *("order_id", "user_id", "user_phone", "driver_id", "driver_phone", "address_text"),
+    *("created_at", "paid_at", "delivery_started_at", "delivered_at", "canceled_at"),
+]
+_LINES = ("delivery_raw", "fact_order_item")
+
 _LOG = "version bigint, complete boolean"
 _ENTRY = "table string, rows bigint, source string, at bigint"
 
@@ -38,6 +46,14 @@ def read_order_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def line_writer(rows: DataFrame) -> DataFrameWriter:
+    """A writer for order lines."""
+    writer = rows.write.mode("overwrite")
+    for name in set(_SHARED).intersection(rows.columns):
+        writer = writer.option(f"parquet.enable.dictionary#{name}", "false")
+    return writer
+
+
 def _read_log(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -174,11 +190,12 @@ class Warehouse:
         written = Observation()
         # Last in the plan: tasks of the stage that writes count once, however often others are repeated.
         rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        writer = rows.write.mode("overwrite")
+        writer = line_writer(rows) if table in _LINES else rows.write.mode("overwrite")
         if table in MARTS:
             # A session that overwrites partitions one by one would leave the dates of an earlier write.
             writer = writer.option("partitionOverwriteMode", "static").partitionBy("report_date")
-        writer.parquet(self.path(table))
+        with freed_shuffles(self.spark):
+            writer.parquet(self.path(table))
         self._enter(table, written.get["rows"], source)
 
 

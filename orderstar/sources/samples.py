@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import gathered
+
 
 def _tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{folder}/{name}.parquet") for name in names]
@@ -48,9 +50,12 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation, c("n_nationkey") == c("c_nationkey"))
         .join(region, c("r_regionkey") == c("n_regionkey"))
     )
-    joined = lineitem.join(part, c("p_partkey") == c("l_partkey")).join(
-        placed_by, c("o_orderkey") == order
-    )
+    lines = gathered(lineitem, "l_quantity", "l_discount", "l_returnflag", "l_linenumber")
+    sold = gathered(lines.join(part, c("p_partkey") == c("l_partkey")), "p_name", "p_type")
+    joined = sold.join(placed_by, c("o_orderkey") == order)
+    # Lines of an order are written one after the other, as a source writes them: what an order has
+    # once is then stored about once.
+    joined = joined.sortWithinPartitions(order)
     even_line = line % 2 == 0
     no_driver = order % 23 == 0
     canceled = (status == "P") | ((status == "O") & (order % 11 == 0))
