@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,46 +101,59 @@ def period_ranks(daily: DataFrame, periods: list[str]) -> DataFrame:
 
     Columns: period (its name), start, place, item_id, units, popular, unpopular.
     """
-    # All periods are summed on one partitioning, in as many tasks as a shuffle begins with: what AQE
-    # would merge here is sorted next.
+    # Rows are shuffled once and summed for all periods there, in as many tasks as a shuffle begins with:
+    # what AQE would merge here is sorted next.
     needed = [PERIODS[period] for period in periods]
     sold = daily.select(*needed, *PLACE, "item_id", "ordered_units").repartition(
         initial_partitions(daily.sparkSession), "city_name", "item_id"
     )
-    units = []
-    for period in periods:
-        key = [F.lit(period).alias("period"), F.col(PERIODS[period]).alias("start"), *PLACE, "item_id"]
-        if period == "day":
-            units.append(sold.select(*key, F.col("ordered_units").alias("units")).distinct())
-        else:
-            units.append(sold.groupBy(*key).agg(F.sum("ordered_units").alias("units")))
+    # Units of a day are ranked as they are, those of a week or month are summed.
+    is_day = F.col("period") == "day"
+    starts = F.array(
+        *(F.struct(F.lit(p).alias("period"), F.col(PERIODS[p]).alias("start")) for p in periods)
+    )
     group = ["period", "start", *PLACE]
-    return two_way_ranks(
-        reduce(DataFrame.unionByName, units), group, "units", "item_id", "popular", "unpopular"
+    units = (
+        sold.select(*PLACE, "item_id", "ordered_units", F.inline(starts))
+        .withColumn("own", F.when(is_day, F.col("ordered_units")))
+        .groupBy(*group, "item_id", "own")
+        .agg(F.sum("ordered_units").alias("total"))
+        .select(*group, "item_id", F.when(is_day, F.col("own")).otherwise(F.col("total")).alias("units"))
     )
+    return two_way_ranks(units, group, "units", "item_id", "popular", "unpopular")
 
 
-def _named(ranked: DataFrame, period: str) -> DataFrame:
+def _period_rank(daily: DataFrame, period: str) -> DataFrame:
     """One period's ranks under the names of the mart."""
-    own = ranked.filter(F.col("period") == period)
-    ranks = zip(("popular", "unpopular"), _ranks(period))
-    return own.select(
+    return period_ranks(daily, [period]).select(
         F.col("start").alias(PERIODS[period]),
         *PLACE,
         "item_id",
-        "units",
-        *(F.col(c).cast("bigint").alias(r) for c, r in ranks),
+        *(F.col(c).cast("bigint").alias(r) for c, r in zip(("popular", "unpopular"), _ranks(period))),
     )
 
 
 def items_week_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over full Monday weeks."""
-    return _named(period_ranks(daily, ["week"]), "week").drop("units")
+    return _period_rank(daily, "week")
 
 
 def items_month_rank(daily: DataFrame) -> DataFrame:
     """Ranks of the items of a store over calendar months."""
-    return _named(period_ranks(daily, ["month"]), "month").drop("units")
+    return _period_rank(daily, "month")
+
+
+def _named(ranked: DataFrame, period: str) -> DataFrame:
+    """One period's ranks under the names of the mart."""
+    own = ranked.filter(F.col("period") == period)
+    ranks = zip(("popular", "unpopular"), _ranks(period))
+    return own.select(
+        F.col("start").alias(PERIODS[period]),
+        *PLACE,
+        "item_id",
+        "units",
+        *(F.col(c).cast("bigint").alias(r) for c, r in ranks),
+    )
 
 
 def items_mart(daily: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed, few_rows
+from ..session import checkpointed, few_rows, freed_shuffles, gathered
 
 # monotonically_increasing_id(): partition number above this bit, row number below.
 _ROW_BITS = 33
@@ -115,7 +115,7 @@ def two_way_ranks(
     in_group = ["_group", *group]
     numbered = rows.withColumn("_group", F.xxhash64(*group))
     order = [*(F.col(c) for c in in_group), F.desc_nulls_first(value), F.asc_nulls_last(tie)]
-    measured, row = _placed(numbered, order), F.col("_row")
+    measured, row = _placed(gathered(numbered, "_group"), order), F.col("_row")
     # A window never holds more than one partition's share of a group; both need one shuffle.
     windows = {
         "r": Window.partitionBy(*in_group, "_part", value),
@@ -125,7 +125,8 @@ def two_way_ranks(
         measured = measured.withColumns(
             {f"_from_{kind}": F.min(row).over(window), f"_to_{kind}": F.max(row).over(window)}
         )
-    measured = checkpointed(measured)
+    with freed_shuffles(rows.sparkSession):
+        measured = checkpointed(measured)
     edges = _edges(measured, group, value)
     first, size = {}, {}
     for kind in _KINDS:
