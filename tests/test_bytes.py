@@ -188,7 +188,7 @@ def test_an_item_of_nearly_all_lines_is_dealt_out(spark, monkeypatch):
             spark.conf.unset(off)
 
 
-# ------------------------------------------------------------- ranks
+# ------------------------------------------------------------- ranks and the mart
 
 
 def test_all_periods_are_summed_on_one_shuffle(spark, sf_dir, monkeypatch):
@@ -220,3 +220,12 @@ def test_ranks_gather_their_groups_before_the_sort(spark, monkeypatch):
     keys.two_way_ranks(rows, ["place"], "u", "item", "down", "up")
     plan = plan_of(stored[0])
     assert plan.index("Exchange rangepartitioning(_group") < plan.index("Sort [xxhash64(_group")
+
+
+def test_the_mart_does_not_shuffle_what_follows_from_the_date(spark, sf_dir):
+    with joins_shuffled(spark):
+        plan = plan_of(QUERIES["items_mart"](spark, sf_dir))
+    daily = next(scan for scan in re.findall(r"FileScan parquet \[(.*?)\]", plan) if "item_gmv" in scan)
+    read = set(re.findall(r"(\w+)#", daily))
+    assert "report_date" in read
+    assert not {"year_num", "month_num", "day_num", "week_start", "month_start"} & read
